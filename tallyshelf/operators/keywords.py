@@ -126,7 +126,7 @@ def select_work(plan: DataFrame, state: DataFrame, persisted: DataFrame, max_pag
     pages already persisted are left out. ``plan`` holds (keyword, plan_no).
     """
     known = state.select("keyword", "state", "last_page").dropDuplicates(["keyword"])
-    open_words = plan.join(known, "keyword", "left").filter(~F.col("state").eqNullSafe("completed"))
+    open_words = plan.select("keyword", "plan_no").join(known, "keyword", "left").filter(~F.col("state").eqNullSafe("completed"))
     start = F.coalesce("last_page", F.lit(0)) + 1
     pages = F.when(start <= max_pages, F.sequence(start, F.lit(max_pages)))
     todo = open_words.select("keyword", "plan_no", F.explode(pages).alias("page"))

@@ -254,6 +254,19 @@ def _gate_zero(df: DataFrame, message: str) -> None:
         raise GateError(f"{message}: {n} rows")
 
 
+def stage_records(raw: DataFrame, source_label: str) -> DataFrame:
+    """Cleaned single-source rows as staged before a merge: typed, named, newest per product and day."""
+    collected = C.to_utc_naive(F.col("collected_at"))
+    pid = C.strip_whitespace(F.col("external_product_id"))
+    rows = raw.select(
+        pid.alias("external_product_id"),
+        C.fallback_product_name(F.col("product_name"), pid, source_label).alias("product_name"),
+        "currency", C.bound_price(F.col("price").try_cast("double")).alias("price"), "product_url",
+        collected.alias("collected_at"), F.to_date(collected).alias("full_date"),
+    )
+    return dedupe.dedupe_daily_keep_last(rows.filter("external_product_id <> '' AND collected_at IS NOT NULL"))
+
+
 def load_platforms(load: Load, products: DataFrame | None = None) -> None:
     """Seeds first, then platforms only the data knows."""
     seeds = seed_platforms(load.read("dim_platform"))

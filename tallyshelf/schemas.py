@@ -53,26 +53,39 @@ SEARCHABLE_PLATFORMS = ["ebay", "etsy", "rakuten", "stockx", "advice_th"]
 CATALOG_SOURCE = "amazon_2023"
 INTERNAL_SOURCE = "internal"
 
-DIM_DATE = T.StructType.fromDDL(
+_TYPES = {
+    "int": T.IntegerType(), "bigint": T.LongType(), "string": T.StringType(), "date": T.DateType(),
+    "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    **{f"decimal({p},{s})": T.DecimalType(p, s) for p, s in [(18, 4), (10, 4), (5, 2), (12, 2), (14, 2)]},
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """Flat schema from ``name type`` pairs; unlike a DDL string it needs no running session."""
+    pairs = [c.split(" ") for c in columns.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[data_type]) for name, data_type in pairs])
+
+
+DIM_DATE = _table(
     "date_key int, full_date date, day int, month int, month_name string, quarter int, "
     "year int, day_of_week int, day_name string, is_weekend boolean"
 )
-DIM_PLATFORM = T.StructType.fromDDL("platform_key int, platform_name string, platform_type string")
-DIM_PRODUCT = T.StructType.fromDDL(
+DIM_PLATFORM = _table("platform_key int, platform_name string, platform_type string")
+DIM_PRODUCT = _table(
     "product_key bigint, source_system string, source_product_id string, product_name string, "
     "category string, brand string, sku string, created_at timestamp, updated_at timestamp"
 )
-DIM_CUSTOMER = T.StructType.fromDDL(
+DIM_CUSTOMER = _table(
     "customer_key bigint, source_customer_id bigint, customer_code string, gender string, age int, "
     "province string, region string, registered_at timestamp, created_at timestamp"
 )
-FACT_SALES = T.StructType.fromDDL(
+FACT_SALES = _table(
     "sales_key bigint, order_id bigint, order_number string, date_key int, product_key bigint, "
     "customer_key bigint, platform_key int, quantity int, unit_price decimal(12,2), "
     "discount_amount decimal(12,2), line_total decimal(14,2), payment_method string, "
     "sales_channel string, order_status string, loaded_at timestamp"
 )
-FACT_EXTERNAL = T.StructType.fromDDL(
+FACT_EXTERNAL = _table(
     "external_fact_key bigint, date_key int, product_key bigint, platform_key int, currency string, "
     "price decimal(18,4), original_price decimal(18,4), discount_percent decimal(10,4), "
     "rating decimal(5,2), review_count bigint, sold_count bigint, seller_name string, "
@@ -87,16 +100,16 @@ WAREHOUSE = {
     "fact_external_product": FACT_EXTERNAL,
 }
 
-CATALOG_JSON = T.StructType.fromDDL(
+CATALOG_JSON = (
     "parent_asin string, title string, main_category string, categories array<string>, "
     "price string, average_rating double, rating_number bigint, store string"
 )
-LISTING_PAGE_JSON = T.StructType.fromDDL(
+LISTING_PAGE_JSON = (
     "keyword string, offset int, `limit` int, `count` int, collected_at string, "
     "results array<struct<listing_id:string, title:string, url:string, updated_timestamp:bigint, "
     "price:struct<amount:string, divisor:string, currency_code:string>>>"
 )
-PRICE_LIST_JSON = T.StructType.fromDDL(
+PRICE_LIST_JSON = (
     "dataset string, source_url string, observed_at_utc string, product_count int, "
     "products array<struct<source_system:string, source_type:string, external_product_id:string, "
     "product_name:string, category:string, price:double, currency:string, product_url:string, "

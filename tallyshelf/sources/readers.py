@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.gates import check_required_columns
 from ..operators.standardize import standardize, union_marketplaces
@@ -55,7 +54,8 @@ def read_heterogeneous_snapshots(spark: SparkSession, path: str, platform: str)
     by schema, each group is one scan, and the groups are united after typing.
     """
     try:
-        return standardize(spark.read.option("mergeSchema", True).parquet(path), platform)
+        files = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
+        return standardize(files.parquet(path), platform)
     except Exception as error:
         if getattr(error, "getCondition", lambda: None)() in _ABSENT or "merg" not in str(error).lower():
             raise
@@ -71,13 +71,13 @@ def read_latest_snapshot_sample(spark: SparkSession, path: str, limit: int = 100
     return spark.read.parquet(newest).limit(limit)
 
 
-def read_gz_jsonl_typed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_gz_jsonl_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines, plain or gzipped. A gzip file is one task: deliver many files, not one big one."""
     return spark.read.schema(schema).json(path)
 
 
 def read_multiline_json_products(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, array: str = "products"
+    spark: SparkSession, path: str, schema: str | None = None, array: str = "products"
 ) -> DataFrame:
     """JSON documents holding an array of products, one row per product."""
     reader = spark.read.option("multiLine", True)
