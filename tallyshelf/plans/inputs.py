@@ -7,7 +7,7 @@ part numbers only, so the SQL check can derive the same ones.
 
 from __future__ import annotations
 
-from functools import cache
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,8 +46,35 @@ def _money(cents: str) -> str:
     return f"concat(cast(({cents}) div 100 AS string), '.', lpad(cast(({cents}) % 100 AS string), 2, '0'))"
 
 
+def _stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived input, written once per application to the shared folder and read from there."""
+    path = f"{_home(spark, sf_dir)}/{name}"
+    if path not in _WRITTEN:
+        build().write.mode("overwrite").parquet(path)
+        _WRITTEN.add(path)
+    return spark.read.parquet(path)
+
+
+def _home(spark: SparkSession, sf_dir: str) -> str:
+    return f"{shared_dir(spark)}/inputs-{spark.sparkContext.applicationId}-{sf_dir.strip('/').replace('/', '_')}"
+
+
+_WRITTEN: set[str] = set()
+
+
 def raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw product snapshots as delivered: text prices and times, dirty cells, no image column."""
+    """The raw product snapshots, as a stored delivery of many files."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return _stored(spark, sf_dir, "raw", lambda: derive_raw_snapshots(spark, sf_dir).repartition(files))
+
+
+def processed_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The processed table the warehouse loads read."""
+    return _stored(spark, sf_dir, "processed", lambda: daily_snapshots(spark, sf_dir))
+
+
+def derive_raw_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw product snapshots: text prices and times, dirty cells, no image column."""
     return lines(spark, sf_dir).selectExpr(
         "source",
         "CASE WHEN l_linenumber = 3 THEN concat('  ', upper(source), ' ') WHEN l_linenumber = 5 THEN ' ' "
@@ -166,22 +193,15 @@ def catalog_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- stored star -----------------------------------------------------------------------
 
 
-@cache
-def _star_root(app_id: str, folder: str, sf_dir: str) -> str:
-    return f"{folder}/star-{app_id}-{sf_dir.strip('/').replace('/', '_')}"
-
-
-_LOADED: set[str] = set()
-
-
 def load_star(spark: SparkSession, sf_dir: str, root: str) -> W.Warehouse:
     """All three loads into ``root``. Product rows carry their first snapshot time as creation time."""
     wh, at = W.Warehouse(spark, root), F.lit(LOADED_AT).cast("timestamp")
-    first = daily_snapshots(spark, sf_dir).groupBy(
+    processed = processed_snapshots(spark, sf_dir)
+    first = processed.groupBy(
         F.col("platform").alias("source_system"), F.col("external_product_id").alias("source_product_id")
     ).agg(F.min("collected_at").alias("created_at"))
     W.load_fact_external(
-        wh, daily_snapshots(spark, sf_dir), at=at,
+        wh, processed, at=at,
         created_at=lambda fresh: fresh.join(first, ["source_system", "source_product_id"]),
     )
     W.load_internal(wh, *internal_tables(spark, sf_dir).values(), at=at)
@@ -191,12 +211,10 @@ def load_star(spark: SparkSession, sf_dir: str, root: str) -> W.Warehouse:
 
 def star(spark: SparkSession, sf_dir: str) -> W.Warehouse:
     """The loaded warehouse of a test folder, written once per application to the shared folder."""
-    root = _star_root(spark.sparkContext.applicationId, shared_dir(spark), sf_dir)
-    if root not in _LOADED:
-        wh = W.Warehouse(spark, root)
-        if wh.head()["version"] == 0:
-            load_star(spark, sf_dir, root)
-        _LOADED.add(root)
+    root = f"{_home(spark, sf_dir)}/star"
+    if root not in _WRITTEN:
+        load_star(spark, sf_dir, root)
+        _WRITTEN.add(root)
     return W.Warehouse(spark, root)
 
 

@@ -951,7 +951,7 @@ def load_fact_external(spark, sf):
 def upsert_fact_external(spark, sf):
     """Insert-only load of the years before the newest one at price 1, then an upsert of everything."""
     wh = W.Warehouse(spark, _work_dir(spark, sf, "facts"))
-    daily = I.daily_snapshots(spark, sf)
+    daily = I.processed_snapshots(spark, sf)
     W.load_fact_external(wh, daily.filter(EARLIER).withColumns({"price": F.lit(1.0), "rating": F.lit(1.0)}))
     W.upsert_fact_external(wh, daily)
     facts = wh.read("fact_external_product")
@@ -1097,7 +1097,7 @@ def stream_daily_metrics(spark, sf):
 def stream_fact_upsert(spark, sf):
     """Micro-batches of snapshots through the warehouse load."""
     root = _work_dir(spark, sf, "facts")
-    daily = I.daily_snapshots(spark, sf)
+    daily = I.processed_snapshots(spark, sf)
     daily.write.parquet(f"{root}/in")
     stream = spark.readStream.schema(daily.schema).parquet(f"{root}/in")
     wh = W.Warehouse(spark, f"{root}/wh")

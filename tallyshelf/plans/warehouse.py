@@ -81,6 +81,12 @@ class Warehouse:
             df = self.spark.createDataFrame([], schema)
         return df.select(*columns) if columns else df
 
+    def scratch(self, df: DataFrame) -> DataFrame:
+        """Write an intermediate result and go on from the written table."""
+        path = f"{self.root}/scratch/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     @contextmanager
     def publish(self, label: str | None = None):
         """A load: everything it adds becomes visible together, or not at all."""
@@ -103,10 +109,7 @@ class Load:
         return self.wh._frame(self.tables.get(table, {}), table, columns, months)
 
     def scratch(self, df: DataFrame) -> DataFrame:
-        """Write an intermediate result and go on from the written table."""
-        path = f"{self.wh.root}/scratch/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return self.wh.scratch(df)
 
     def number(self, table: str, rows: DataFrame, natural_key: list[str]) -> DataFrame:
         """Rows with the table's next surrogate keys and in its column order."""
@@ -314,6 +317,8 @@ def load_fact_external(
 ) -> int:
     """Load processed snapshots: dates, platforms, products, then facts.
 
+    ``products`` is read once per table, so pass a stored table rather than a
+    long plan.
     ``policy="insert"`` keeps existing facts; ``"upsert"`` overwrites currency,
     price, url and collection time of existing ones. ``created_at`` may add a
     ``created_at`` column to new product rows (for back-filled history).

