@@ -87,19 +87,25 @@ def text_segments(html: Column) -> Column:
 def price_contexts(segments: Column, around: int = 3) -> Column:
     """For each segment with a price: its position and the text of its neighbourhood.
 
-    Works inside the page's own array, so no page is exploded and shuffled.
+    Works inside the page's own array, so no page is exploded and shuffled. The
+    outer one-element array binds the segments to a variable: they are split
+    once per page, not once per segment.
     """
-    positions = F.when(F.size(segments) > 0, F.sequence(F.lit(1), F.size(segments)))
-    priced = F.filter(positions, lambda i: F.element_at(segments, i).rlike(CONTEXT_PRICE))
 
-    def context(i: Column) -> Column:
-        start = F.greatest(F.lit(1), i - around)
-        return F.struct(
-            (i - 1).alias("position"),
-            F.concat_ws(" ", F.slice(segments, start, i + around - start + 1)).alias("context"),
-        )
+    def contexts(pieces: Column) -> Column:
+        positions = F.when(F.size(pieces) > 0, F.sequence(F.lit(1), F.size(pieces)))
+        priced = F.filter(positions, lambda i: F.element_at(pieces, i).rlike(CONTEXT_PRICE))
 
-    return F.transform(priced, context)
+        def context(i: Column) -> Column:
+            start = F.greatest(F.lit(1), i - around)
+            return F.struct(
+                (i - 1).alias("position"),
+                F.concat_ws(" ", F.slice(pieces, start, i + around - start + 1)).alias("context"),
+            )
+
+        return F.transform(priced, context)
+
+    return F.get(F.transform(F.array(segments), contexts), 0)
 
 
 def _without_dot_segments(path: Column) -> Column:
@@ -114,9 +120,13 @@ def _without_dot_segments(path: Column) -> Column:
     return F.concat(F.array_join(kept, "/"), F.when(directory, "/").otherwise(""))
 
 
-def absolute_url(base: Column, href: Column) -> Column:
-    """``href`` resolved against the page address."""
-    link = F.trim(decode_entities(href))
+def link_text(href: Column) -> Column:
+    """An href attribute as written to the address it means."""
+    return F.trim(decode_entities(href))
+
+
+def absolute_url(base: Column, link: Column) -> Column:
+    """``link`` resolved against the page address."""
     scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     origin = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
     page = F.regexp_replace(base, r"[?#].*$", "")

@@ -58,7 +58,7 @@ def _products(extracted: DataFrame, mode: str) -> DataFrame:
     )
     return first.select(
         "page_id", "external_product_id", "p.product_name", "price", F.lit("THB").alias("currency"),
-        X.absolute_url(F.col("url"), F.col("p.href")).alias("product_url"), F.col("url").alias("source_page"),
+        X.absolute_url(F.col("url"), F.trim("p.href")).alias("product_url"), F.col("url").alias("source_page"),
         "p.description_raw",
     )
 
@@ -111,7 +111,8 @@ def price_context_window(pages: DataFrame, around: int = 3) -> DataFrame:
 def extract_links(pages: DataFrame, product_only: bool = False) -> DataFrame:
     """Distinct absolute links per page. Repeats go inside the page's own array, without a shuffle."""
     hrefs = F.regexp_extract_all(F.col("html"), F.lit(X.ANCHOR_HREF), F.lit(1))
-    links = F.array_distinct(F.transform(hrefs, lambda h: X.absolute_url(F.col("url"), h)))
+    named = F.array_distinct(F.transform(hrefs, X.link_text))
+    links = F.array_distinct(F.transform(named, lambda link: X.absolute_url(F.col("url"), link)))
     out = pages.select("page_id", F.explode(links).alias("link"))
     out = out.withColumn("product_like", X.product_like(F.col("link")))
     return out.filter("product_like") if product_only else out

@@ -227,6 +227,10 @@ def frames(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def compare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a comparison of the products on it: (request_id, external_fact_key)."""
+    return _stored(spark, sf_dir, "requests", lambda: derive_compare_requests(spark, sf_dir))
+
+
+def derive_compare_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     wh = star(spark, sf_dir)
     lined = lines(spark, sf_dir).selectExpr(
         "l_orderkey AS request_id", "source AS platform_name", "cast(l_partkey AS string) AS source_product_id",

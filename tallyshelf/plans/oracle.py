@@ -302,7 +302,8 @@ _DATE_ATTRIBUTES = """CAST(strftime(full_date, '%Y%m%d') AS INT) AS date_key, fu
 _SCORED = """
 SELECT request_id, external_fact_key, round(coalesce((hi - p) / (CASE WHEN hi = lo THEN 1.0::DOUBLE ELSE hi - lo END) * {wp}::DOUBLE, 0)
   + coalesce(CAST(rating AS DOUBLE) / 5 * {wr}::DOUBLE, 0)
-  + coalesce(least(CAST(review_count AS DOUBLE) / 1000, 1.0::DOUBLE) * 0.15::DOUBLE, 0), 3) AS score, p, rating, review_count
+  + CASE WHEN review_count IS NULL THEN 0 ELSE least(CAST(review_count AS DOUBLE) / 1000, 1.0::DOUBLE) * 0.15::DOUBLE END, 3)
+  AS score, p, rating, review_count
 FROM (SELECT *, min(p) OVER w AS lo, max(p) OVER w AS hi FROM ({items})
   WINDOW w AS (PARTITION BY request_id))"""
 _PRICED = """SELECT i.request_id, i.external_fact_key, i.rating, i.review_count, {price} AS p
