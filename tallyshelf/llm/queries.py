@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sharding, simhash, token_counts
+from . import decontaminate, line_dedup, packing, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
 from .tokens import public_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_topk(spark, sf):
+    """The 20 best matches of every twentieth vector among all others."""
+    vectors = topk.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding", 64.0)
+    return topk.top_k(vectors, vectors.filter("vec_id % 20 = 0"), 20)
+
+
+ORACLE["op1_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS codes FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.codes, c.codes), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) WHERE rank <= 20
+"""
+
+
+@query
+def op3_decontamination(spark, sf):
+    """Documents that hold benchmark items."""
+    return decontaminate.leaks(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 @query
 def op4_sharding(spark, sf):
     """Documents in 16 shards of equal row counts."""
@@ -51,3 +79,115 @@ def op8_simhash(spark, sf):
     """Fingerprints and components of all documents."""
     found = simhash.near_duplicates(table(spark, sf, "documents"), max_bits=2, words=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op9_secret_scan(spark, sf):
+    """Secrets of all documents."""
+    docs = table(spark, sf, "documents")
+    return secret_scan.scan(docs, secret_scan.infer_formats(docs))
+
+
+@query
+def op10_line_dedup(spark, sf):
+    """Repeated lines of all documents, but for the earliest of each."""
+    found = line_dedup.repeated_units(table(spark, sf, "documents"), "line", 20)
+    return found.select("doc_id", "start", "end", "kept_doc_id")
+
+
+@query
+def op2_quality(spark, sf):
+    """Quality of all documents, learnt outside the held-out fold."""
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), 0.3)
+
+
+# Times of captures and list entries, in seconds of one year, from digests: the tables have none.
+_YEAR = 31_536_000
+
+
+def _moment(text):
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % _YEAR
+
+
+def _list_entries(pages):
+    """Dated entries for every host, parent domain and first path segment of the pages."""
+    host = url_filter.host_of(F.col("url"))
+    first = F.regexp_extract("url", r"^[a-z]+://[^/]*/([^/?#]+)", 1)
+    named = pages.select(host.alias("host"), first.alias("first")).distinct()
+    patterns = named.select(F.explode(F.array(
+        F.struct(F.lit("hosts").alias("list_name"), F.col("host").alias("pattern")),
+        F.struct(F.lit("domains").alias("list_name"), F.regexp_replace("host", r"^[^.]*\.", "").alias("pattern")),
+        F.struct(F.lit("paths").alias("list_name"), F.concat_ws("/", "host", "first").alias("pattern")),
+    )).alias("e")).select("e.*").distinct()
+    # Three turns: added, removed, added again, each later than the one before.
+    turns = F.array(*[F.struct(F.lit(a).alias("action"), F.lit(n).alias("n")) for n, a in enumerate(["add", "remove", "add"])])
+    dated = patterns.withColumn("turn", F.explode(turns))
+    start = _moment(F.concat(F.lit("from "), "list_name", F.lit(" "), "pattern"))
+    step = _moment(F.concat(F.lit("step "), "list_name", F.lit(" "), "pattern"))
+    return dated.select(
+        "list_name", "pattern", F.col("turn.action").alias("action"),
+        (start + F.col("turn.n") * (F.floor(step / F.lit(4)) + 1)).cast("long").alias("at"),
+    )
+
+
+@query
+def op6_url_filters(spark, sf):
+    """Every page's lists at its fetch time."""
+    pages = table(spark, sf, "pages")
+    captures = pages.select(
+        "page_id", "url", _moment(F.concat(F.lit("fetch "), F.col("page_id").cast("string"))).alias("fetched_at")
+    )
+    marked = url_filter.evaluate(captures, _list_entries(pages))
+    return marked.select(
+        "page_id", "url", "fetched_at", F.array_join("lists", ",").alias("lists"), "n_entries",
+        (F.col("n_entries") > 0).alias("blocked"),
+    )
+
+
+def _sql_moment(text):
+    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) % {_YEAR})"
+
+
+ORACLE["op6_url_filters"] = f"""
+WITH p AS (
+  SELECT page_id, url, lower(regexp_extract(url, '^[a-z]+://([^/?#:@]*)', 1)) AS host,
+         regexp_extract(url, '^[a-z]+://[^/]*/([^/?#]+)', 1) AS first,
+         {_sql_moment("'fetch ' || page_id")} AS fetched_at
+  FROM pages
+), e AS (
+  SELECT DISTINCT list_name, pattern FROM (
+    SELECT 'hosts' AS list_name, host AS pattern FROM p
+    UNION ALL SELECT 'domains', regexp_replace(host, '^[^.]*\\.', '') FROM p
+    UNION ALL SELECT 'paths', host || '/' || first FROM p)
+), d AS (
+  SELECT list_name, pattern, {_sql_moment("'from ' || list_name || ' ' || pattern")} AS a,
+         {_sql_moment("'step ' || list_name || ' ' || pattern")} // 4 + 1 AS s FROM e
+), i AS (
+  SELECT list_name, pattern, a AS f, a + s AS t FROM d UNION ALL SELECT list_name, pattern, a + 2 * s, NULL FROM d
+), m AS (
+  SELECT p.page_id, list_name FROM p JOIN i
+  ON (pattern = host OR ends_with(host, '.' || pattern) OR pattern = host || '/' || first)
+     AND fetched_at >= f AND (t IS NULL OR fetched_at < t)
+)
+SELECT p.page_id, any_value(url) AS url, any_value(fetched_at) AS fetched_at,
+       coalesce(string_agg(DISTINCT list_name, ',' ORDER BY list_name), '') AS lists,
+       count(list_name) AS n_entries, count(list_name) > 0 AS blocked
+FROM p LEFT JOIN m USING (page_id) GROUP BY p.page_id
+"""
+
+ORACLE["op10_line_dedup"] = """
+WITH s AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
+  FROM documents
+), o AS (
+  SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (
+    PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM s
+), u AS (
+  SELECT *, trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS unit FROM o
+), l AS (
+  SELECT *, first_value(doc_id) OVER w AS kept_doc_id, row_number() OVER w AS turn FROM u
+  WHERE len(string_split(unit, ' ')) >= 20 WINDOW w AS (PARTITION BY unit ORDER BY doc_id, n)
+)
+SELECT doc_id, start, start + length(line) AS "end", kept_doc_id FROM l WHERE turn > 1
+"""
