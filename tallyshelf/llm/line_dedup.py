@@ -10,6 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 _BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+")}
 
 
@@ -74,10 +76,13 @@ def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = 20) ->
 def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
     """``docs`` with the removed units cut out of their texts and ``cuts``, the original (start, end) of each.
 
+    ``cuts`` gets underscores where ``docs`` has such a column.
+
     A line goes with the line break after it. Documents without cuts stay as
     they are, with ``cuts`` null; so do those with a null doc_id.
     """
-    spans = removed.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("cuts"))
+    cuts = fresh(docs, "cuts")
+    spans = removed.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias(cuts))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, cuts: pa.Array) -> pa.Array:
@@ -93,4 +98,4 @@ def without_units(docs: DataFrame, removed: DataFrame) -> DataFrame:
         return pa.array(out, pa.string())
 
     joined = docs.join(spans, "doc_id", "left")
-    return joined.withColumn("text", cut("text", "cuts")).select(*docs.columns, "cuts")
+    return joined.withColumn("text", cut("text", cuts)).select(*docs.columns, cuts)

@@ -67,13 +67,13 @@ def evaluate(captures: DataFrame, entries: DataFrame, url: str = "url", at: str
     held = spread.join(
         active, (F.col("p") == F.col("entry")) & (F.col("t") >= F.col("from")) & (F.col("to").isNull() | (F.col("t") < F.col("to")))
     )
-    found = held.groupBy("u", "t").agg(
-        F.sort_array(F.collect_set("list_name")).alias("found_lists"), F.count(F.lit(1)).alias("found_n")
-    )
     lists, n = fresh(captures, "lists"), fresh(captures, "n_entries")
-    joined = captures.alias("c").join(found, (F.col(f"c.{url}") == F.col("u")) & (F.col(f"c.{at}") == F.col("t")), "left")
+    u, t = fresh(captures, "seen_url"), fresh(captures, "seen_at")
+    found = held.groupBy(F.col("u").alias(u), F.col("t").alias(t)).agg(
+        F.sort_array(F.collect_set("list_name")).alias(lists), F.count(F.lit(1)).alias(n)
+    )
+    joined = captures.join(found, (F.col(url) == F.col(u)) & (F.col(at) == F.col(t)), "left")
     return joined.select(
-        *[F.col(f"c.`{c}`") for c in captures.columns],
-        F.coalesce("found_lists", F.array().cast("array<string>")).alias(lists),
-        F.coalesce("found_n", F.lit(0)).cast("long").alias(n),
+        *captures.columns, F.coalesce(lists, F.array().cast("array<string>")).alias(lists),
+        F.coalesce(n, F.lit(0)).cast("long").alias(n),
     )
