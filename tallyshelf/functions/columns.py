@@ -90,11 +90,14 @@ def to_utc_naive(c: Column) -> Column:
 
 
 def epoch_to_timestamp(c: Column) -> Column:
-    return F.timestamp_seconds(c.try_cast("bigint"))
+    """Seconds since 1970 to a timestamp; NULL for what is no number or lies outside the years 1 to 9999."""
+    seconds = c.try_cast("bigint")
+    return F.when(seconds.between(-62_135_596_800, 253_402_300_799), F.timestamp_seconds(seconds))
 
 
 def null_negative(c: Column) -> Column:
-    return F.when(c >= 0, c)
+    """Also NULL: NaN and infinity, which no measure is and which would spoil an average."""
+    return F.when((c >= 0) & (c.cast("double") < F.lit(float("inf"))), c)
 
 
 def null_rating_out_of_range(c: Column) -> Column:

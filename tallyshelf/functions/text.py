@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import html.entities
+import json
 import unicodedata
 
 import pandas as pd
@@ -29,14 +31,18 @@ HIDDEN_BLOCK = (
     r"|<svg\b[^>]*>.*?</svg\s*>|<noscript\b[^>]*>.*?</noscript\s*>"
 )
 ANY_TAG = r"(?s)<[^>]*>"
-ANCHOR_HREF = r"(?is)<a\b[^>]*?\shref\s*=\s*[\"']([^\"'>]*)"
+# Quoted values may hold spaces; the opening quote stays with the value and is taken off later.
+ANCHOR_HREF = r"(?is)<a\b[^>]*?\shref\s*=\s*([\"'][^\"'>]*|[^\s\"'>]+)"
 JSONLD_BLOCK = r"(?is)<script[^>]*type\s*=\s*[\"']application/ld\+json[\"'][^>]*>(.*?)</script\s*>"
 REDIRECT_ID = r"(?i)/r/redirect\?id=(\d+)"
 REDIRECT_HOST = r"(?:https?://(?:www\.)?priceza\.com)?"
 THAI_PRICE = r"(?:฿\s*[\d,]+(?:\.\d{1,2})?|[\d,]+(?:\.\d{1,2})?\s*บาท)"
 CONTEXT_PRICE = r"฿|บาท|\b\d{1,3}(?:,\d{3})+(?:\.\d{2})?\b"
 PRODUCT_LIKE = ["product", "item", "detail"]
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+_NAMED = {k[:-1]: v.replace("\xa0", " ") for k, v in html.entities.html5.items() if k.endswith(";")}
 
 
 def markers_found(html: Column) -> Column:
@@ -66,10 +72,28 @@ def sanitize_html(html: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """The entities of ordinary markup; others stay as written."""
-    for entity, character in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(character))
-    return text
+    """Character references, numeric and named, as the characters they mean; unknown ones stay as written.
+
+    Each distinct reference of a text is replaced once, ``&amp;`` last, so what
+    it uncovers is not decoded again. A no-break space becomes a space.
+    """
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
+    ordered = F.concat(F.filter(found, lambda r: r != "&amp;"), F.filter(found, lambda r: r == "&amp;"))
+    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+
+    def meaning(reference: Column) -> Column:
+        hexadecimal = F.lower(F.substring(reference, 3, 1)) == "x"
+        digits = F.regexp_extract(reference, r"([0-9a-fA-F]+);$", 1)
+        code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).try_cast("int")
+        # Code points that no text can hold stay as written.
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        return F.when(F.substring(reference, 2, 1) != "#", F.try_element_at(names, F.substring_index(F.substring(reference, 2, 40), ";", 1))).when(
+            valid, F.when(code == 160, " ").otherwise(char)
+        )
+
+    decoded = F.aggregate(ordered, text, lambda out, r: F.replace(out, r, F.coalesce(meaning(r), r)))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
 def visible_text(html: Column) -> Column:
@@ -122,7 +146,7 @@ def _without_dot_segments(path: Column) -> Column:
 
 def link_text(href: Column) -> Column:
     """An href attribute as written to the address it means."""
-    return F.trim(decode_entities(href))
+    return F.trim(decode_entities(F.regexp_replace(href, "^[\"']", "")))
 
 
 def absolute_url(base: Column, link: Column) -> Column:
@@ -164,4 +188,9 @@ def split_words(text: Column) -> Column:
     return F.filter(trimmed, lambda w: w != "")
 
 
+def strip_unicode(text: Column) -> Column:
+    """Without white space of any script at either end."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 STRING_ARRAY = ArrayType(StringType())

@@ -308,7 +308,7 @@ def unique_catalog_products(datasets: list[DataFrame], column: str = "parent_asi
 def group_items_by_currency(items: DataFrame) -> DataFrame:
     """Priced items of each comparison, listed per currency.
 
-    A comparison holds at most five items, so the lists are bounded.
+    A list is as long as the comparison names priced items of the currency.
     """
     item = F.struct("external_fact_key", "product_name", "platform_name", "price")
     return items.filter("price IS NOT NULL").groupBy("request_id", "currency").agg(

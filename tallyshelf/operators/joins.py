@@ -14,6 +14,10 @@ from .. import schemas as S
 from ..functions import columns as C
 
 
+# Rates that are sent to every task: there are fewer currencies than this.
+MAX_CURRENCIES = 1000
+
+
 def missing_from(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(right.select(*keys), keys, "left_anti")
 
@@ -190,18 +194,16 @@ def marketplace_snapshot(wh: dict[str, DataFrame]) -> DataFrame:
 def compare_products(wh: dict[str, DataFrame], requests: DataFrame) -> DataFrame:
     """Product, platform and price of the facts each request names.
 
-    ``requests`` holds (request_id, external_fact_key); a request compares two
-    to five facts, others are left out.
+    ``requests`` holds (request_id, external_fact_key). Every request is kept,
+    however many facts it names: ranking says which ones it refuses and why.
     """
     named = requests.distinct()
-    valid = named.groupBy("request_id").agg(F.count("*").alias("_n")).filter(F.col("_n").between(2, 5))
     facts = wh["fact_external_product"].select(
         "external_fact_key", "product_key", "platform_key", "currency", "price", "rating", "review_count",
         "product_url", "collected_at",
     )
     return (
-        named.join(valid.select("request_id"), "request_id", "left_semi")
-        .join(facts, "external_fact_key")
+        named.join(facts, "external_fact_key")
         .join(wh["dim_product"].select("product_key", "product_name"), "product_key")
         .join(wh["dim_platform"].select("platform_key", "platform_name"), "platform_key")
         .select(
@@ -242,12 +244,18 @@ def product_history(wh: dict[str, DataFrame], product_key: int | None = None) ->
 def convert_currency(items: DataFrame, rates: DataFrame, target: str = "THB") -> DataFrame:
     """Price in ``target``; an unknown currency leaves ``price_converted`` NULL.
 
-    ``rates`` holds (base, target, rate decimal(18,6), rate_date), one row per
-    pair. The target currency itself converts at rate 1.
+    ``rates`` holds (base, target, rate decimal(18,6), rate_date); of several
+    rows for a pair the newest counts. The target currency itself converts at
+    rate 1. A handful of currencies hold all items, so items are not dealt out
+    by currency: up to ``MAX_CURRENCIES`` rates, which is counted, are sent to
+    every task. More of them meet items by a plain join.
     """
-    pair = rates.filter(F.col("target") == target).select(
-        F.col("base").alias("currency"), F.col("rate").alias("_rate"), "rate_date"
-    )
+    newest = F.max(F.struct("rate_date", "rate")).alias("_r")
+    pair = rates.filter((F.col("target") == target) & F.col("base").isNotNull()).groupBy(
+        F.col("base").alias("currency")
+    ).agg(newest).select("currency", F.col("_r.rate").alias("_rate"), F.col("_r.rate_date").alias("rate_date"))
+    if pair.limit(MAX_CURRENCIES + 1).count() <= MAX_CURRENCIES:
+        pair = F.broadcast(pair)
     rate = F.when(F.col("currency") == target, F.lit(1)).otherwise(F.col("_rate")).cast("decimal(18,6)")
     return (
         items.join(pair, "currency", "left")

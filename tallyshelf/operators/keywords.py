@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from .gates import GateError
 
 # Search refinements, in the order they are tried.
 QUALIFIERS = ["人気", "ランキング", "送料無料", "新品", "日本製", "大容量", "コンパクト", "業務用", "セット", "限定"]
@@ -22,17 +23,21 @@ CATEGORY_MARKERS = {
     "本・趣味": ["本", "漫画", "模型", "楽器", "ギター", "フィギュア"],
 }
 DEFAULT_CATEGORY, SUBCATEGORY = "生活用品", "商品検索"
-PLAN_SIZE, HIGH_PRIORITY = 3000, 300
+HIGH_PRIORITY = 300
 
 
 def keyword_normalize(texts: DataFrame, order: list[str], column: str = "text") -> DataFrame:
     """Distinct normalized words with the place of their first occurrence.
 
     ``order`` names the columns that order the texts; ``first_seen`` is the
-    struct (order columns, position in the text).
+    struct (order columns, position in the text). Texts are cut before words
+    are normalized, so a full-width comma stays part of its word. Only distinct
+    words as written go to Python.
     """
-    words = texts.select(*order, F.posexplode(X.split_words(X.nfkc(F.col(column)))).alias("position", "keyword"))
-    return words.groupBy("keyword").agg(F.min(F.struct(*order, "position")).alias("first_seen"))
+    words = texts.select(*order, F.posexplode(X.split_words(F.col(column))).alias("position", "_raw"))
+    written = words.groupBy("_raw").agg(F.min(F.struct(*order, "position")).alias("first_seen"))
+    clean = written.select(X.strip_unicode(X.nfkc(F.col("_raw"))).alias("keyword"), "first_seen").filter("keyword <> ''")
+    return clean.groupBy("keyword").agg(F.min("first_seen").alias("first_seen"))
 
 
 def keyword_category(word: Column, markers: dict[str, list[str]] | None = None, default: str = DEFAULT_CATEGORY) -> Column:
@@ -53,15 +58,6 @@ def keyword_classify(
     })
 
 
-def _numbered(df: DataFrame, order: list[Column], limit: int) -> DataFrame:
-    """The first ``limit`` rows with their number from 0.
-
-    Spark takes the top rows per task before this one-partition numbering, so
-    it sees ``limit`` rows at most.
-    """
-    return df.orderBy(*order).limit(limit).withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
-
-
 def keyword_priority(words: DataFrame, order: str = "first_seen", high: int = HIGH_PRIORITY) -> DataFrame:
     """Every word as pending; the first ``high`` words have high priority.
 
@@ -75,28 +71,35 @@ def keyword_priority(words: DataFrame, order: str = "first_seen", high: int = HI
 
 
 def keyword_cross_refine(
-    words: DataFrame, qualifiers: list[str] | None = None, size: int = PLAN_SIZE, order: str = "first_seen"
+    words: DataFrame, qualifiers: list[str] | None = None, size: int | None = None, order: str = "first_seen"
 ) -> DataFrame:
-    """Words plus word-qualifier pairs up to ``size`` keywords, one qualifier after the other.
-
-    All words stay; refinements fill the rest of the plan. The pairs come from
-    a literal array on each word, not from a join. Columns: keyword,
-    qualifier_no (0 for a plain word), place.
+    """Words with every ordered choice of qualifiers behind them, in list order.
+
+    Each qualifier in turn refines all keywords so far, refined ones included.
+    So a word's refinements are the subsets of the qualifiers, numbered in
+    binary: bit k of ``refinement`` is the k-th qualifier, 0 the plain word, and
+    (refinement, place) is the list order. They come from a literal array on
+    each word, ``2 ** len(qualifiers)`` of them; a keyword that arises twice
+    keeps its first place. All are returned unless ``size`` is given: then the
+    plain words and the first refinements up to that many keywords, and too few
+    keywords in all are an error.
     """
-    qualifiers = qualifiers or QUALIFIERS
-    base = words.select("keyword", F.lit(0).alias("qualifier_no"), F.col(order).alias("place"))
-    refined = words.select(
-        F.posexplode(F.array(*[F.lit(q) for q in qualifiers])).alias("_q", "_text"),
-        F.col("keyword").alias("_word"), F.col(order).alias("place"),
-    ).select(F.concat_ws(" ", "_word", "_text").alias("keyword"), (F.col("_q") + 1).alias("qualifier_no"), "place")
-    fresh = refined.join(words.select("keyword"), "keyword", "left_anti")
-    first = fresh.groupBy("keyword").agg(F.min(F.struct("qualifier_no", "place")).alias("_f")).select(
-        "keyword", "_f.qualifier_no", "_f.place"
-    )
-    room = words.agg(F.greatest(F.lit(0), F.lit(size) - F.count("*")).alias("room"))
-    fill = _numbered(first, [F.col("qualifier_no"), F.col("place")], size)
-    fill = fill.filter(F.col("position") < room.scalar()).drop("position")
-    return base.unionByName(fill)
+    qualifiers = QUALIFIERS if qualifiers is None else qualifiers
+    subsets = F.array(*[
+        F.struct(F.lit(m).alias("refinement"), F.lit("".join(f" {q}" for k, q in enumerate(qualifiers) if m >> k & 1)).alias("tail"))
+        for m in range(1 << len(qualifiers))
+    ])
+    refined = words.select(F.col("keyword").alias("_word"), F.col(order).alias("place"), F.explode(subsets).alias("_s"))
+    keywords = refined.groupBy(F.concat("_word", "_s.tail").alias("keyword")).agg(
+        F.min(F.struct("_s.refinement", "place")).alias("_f")
+    ).select("keyword", "_f.refinement", "_f.place")
+    if size is None:
+        return keywords
+    counts = keywords.agg(F.count("*").alias("all"), F.count_if(F.col("refinement") == 0).alias("plain")).first()
+    if counts["all"] < size:
+        raise GateError(f"only {counts['all']} distinct keywords, {size} wanted")
+    fill = keywords.filter("refinement > 0").orderBy("refinement", "place").limit(max(0, size - counts["plain"]))
+    return keywords.filter("refinement = 0").unionByName(fill)
 
 
 def keyword_reconcile(plan: DataFrame, state: DataFrame, updated_at: Column | None = None) -> DataFrame:
@@ -119,16 +122,27 @@ def keyword_reconcile(plan: DataFrame, state: DataFrame, updated_at: Column | No
     )
 
 
-def select_work(plan: DataFrame, state: DataFrame, persisted: DataFrame, max_pages: int, limit: int) -> DataFrame:
+def select_work(
+    plan: DataFrame, state: DataFrame, persisted: DataFrame, max_pages: int, limit: int, newest: str = "last_page"
+) -> DataFrame:
     """Next (keyword, page) to fetch, in plan order.
 
     Completed keywords are skipped, others resume behind their last page, and
-    pages already persisted are left out. ``plan`` holds (keyword, plan_no).
+    pages already persisted are left out. ``plan`` holds (keyword, plan_no). Of
+    several states of a keyword the one with the largest ``newest`` counts, then
+    the further page, then the completed one. Pages left are counted per keyword first; only the first
+    ``limit`` keywords that have any are expanded to pages.
     """
-    known = state.select("keyword", "state", "last_page").dropDuplicates(["keyword"])
+    place = F.struct(F.col(newest).alias("_newest"), F.col("last_page"), (F.col("state") == "completed").alias("_done"), F.col("state"))
+    known = state.groupBy("keyword").agg(F.max(place).alias("_s")).select("keyword", "_s.state", "_s.last_page")
     open_words = plan.select("keyword", "plan_no").join(known, "keyword", "left").filter(~F.col("state").eqNullSafe("completed"))
-    start = F.coalesce("last_page", F.lit(0)) + 1
-    pages = F.when(start <= max_pages, F.sequence(start, F.lit(max_pages)))
-    todo = open_words.select("keyword", "plan_no", F.explode(pages).alias("page"))
-    fresh = todo.join(persisted.select("keyword", "page"), ["keyword", "page"], "left_anti")
+    open_words = open_words.select("keyword", "plan_no", (F.coalesce("last_page", F.lit(0)) + 1).alias("_start"))
+    stored = persisted.select("keyword", "page").distinct()
+    taken = open_words.join(stored, "keyword").filter(F.col("page").between(F.col("_start"), max_pages)).groupBy("keyword").agg(
+        F.count("*").alias("_taken")
+    )
+    left = max_pages - F.col("_start") + 1 - F.coalesce("_taken", F.lit(0))
+    first = open_words.join(taken, "keyword", "left").filter(left > 0).orderBy("plan_no").limit(limit)
+    todo = first.select("keyword", "plan_no", F.explode(F.sequence("_start", F.lit(max_pages))).alias("page"))
+    fresh = todo.join(stored, ["keyword", "page"], "left_anti")
     return fresh.orderBy("plan_no", "page").limit(limit).select("keyword", "page")

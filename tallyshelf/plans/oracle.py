@@ -308,7 +308,7 @@ FROM (SELECT *, min(p) OVER w AS lo, max(p) OVER w AS hi FROM ({items})
   WINDOW w AS (PARTITION BY request_id))"""
 _PRICED = """SELECT i.request_id, i.external_fact_key, i.rating, i.review_count, {price} AS p
   FROM request_items i JOIN (SELECT request_id FROM request_items GROUP BY request_id
-    HAVING count(*) BETWEEN 2 AND 5 AND count(*) FILTER (price IS NULL OR currency IS NULL) = 0 {more}) g USING (request_id)
+    HAVING count(*) FILTER (price IS NULL OR currency IS NULL) = 0 {more}) g USING (request_id)
   LEFT JOIN rates ON base = currency"""
 _CATALOG = "FROM products WHERE source_system = 'amazon_2023'"
 _MARKET = "FROM products WHERE source_system <> 'internal'"
@@ -321,7 +321,8 @@ _HIDDEN = (
 
 
 def _decoded(text: str) -> str:
-    for entity, character in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")]:
+    for entity, character in [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·"),
+                              ("&amp;", "&")]:
         text = f"replace({text}, '{entity}', '{character}')"
     return text
 
@@ -488,8 +489,7 @@ BODIES: dict[str, str] = {
     "marketplace_snapshot": "SELECT * FROM snapshot",
     "platform_left_quality_join": """SELECT platform_name, count(external_fact_key) AS fact_rows FROM platforms
       LEFT JOIN facts USING (platform_key) GROUP BY 1""",
-    "compare_products": """SELECT * FROM request_items WHERE request_id IN (SELECT request_id FROM requests
-      GROUP BY 1 HAVING count(*) BETWEEN 2 AND 5)""",
+    "compare_products": "SELECT * FROM request_items",
     "product_history": """SELECT p.product_key, source_product_id, product_name, category, brand, platform_name, currency, price,
       rating, review_count, product_url, collected_at, external_fact_key
       FROM products p LEFT JOIN facts f ON f.product_key = p.product_key LEFT JOIN platforms USING (platform_key)""",
@@ -500,10 +500,13 @@ BODIES: dict[str, str] = {
       CASE WHEN state IN ('completed', 'partial') THEN last_page ELSE 0 END AS last_page,
       CASE WHEN state IN ('completed', 'partial') THEN completed_at END AS last_run_at
       FROM words LEFT JOIN kw_state USING (keyword)""",
-    "keyword_cross_refine": """SELECT keyword, 0 AS qualifier_no FROM words UNION ALL
-      (SELECT keyword || ' ' || q, CAST(n AS INT) FROM words, (SELECT unnest(['popular', 'ranking', 'new', 'boxed', 'compact',
-        'bulk', 'set', 'limited', 'large', 'pro']) AS q, unnest(range(1, 11)) AS n)
-      ORDER BY n, first_seen LIMIT (SELECT greatest(0, 3000 - count(*)) FROM words))""",
+    # One round after the other, each over the whole list so far.
+    "keyword_cross_refine": """SELECT * FROM (WITH RECURSIVE refined AS (
+        SELECT keyword, 0 AS refinement, 0 AS n FROM words
+        UNION ALL SELECT keyword || tail, refinement + bit, n + 1 FROM refined, (SELECT unnest(
+          ['popular', 'ranking', 'new', 'boxed']) AS q, unnest(range(4)) AS k), LATERAL (
+          SELECT ' ' || q AS tail, CAST(1 << k AS INT) AS bit UNION ALL SELECT '', 0) WHERE k = n)
+      SELECT keyword, min(refinement) AS refinement FROM refined WHERE n = 4 GROUP BY keyword)""",
     "fk_orphans": """SELECT 'product_key' AS foreign_key, count(*) AS orphans FROM facts
         WHERE product_key NOT IN (SELECT product_key FROM products WHERE category <> 'PROMO')
       UNION ALL SELECT 'platform_key', count(*) FROM facts WHERE platform_key NOT IN (SELECT platform_key FROM platforms)
@@ -583,8 +586,7 @@ BODIES: dict[str, str] = {
       FROM facts JOIN platforms USING (platform_key) GROUP BY 1""",
     "group_items_by_currency": """SELECT request_id, currency, CAST(count(*) AS INT) AS item_count,
       string_agg(CAST(external_fact_key AS VARCHAR), ',' ORDER BY external_fact_key) AS fact_keys FROM request_items
-      WHERE price IS NOT NULL AND request_id IN (SELECT request_id FROM requests GROUP BY 1 HAVING count(*) BETWEEN 2 AND 5)
-      GROUP BY ALL""",
+      WHERE price IS NOT NULL GROUP BY ALL""",
     "daily_request_metrics": """SELECT CAST(ts AS DATE) AS day, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT)
       AS http_attempts, count(*) FILTER (event_type = 'error') AS http_429,
       arg_max(CAST(json_extract_string(props, '$.k') AS BIGINT), ts) AS latest_http_attempts FROM events GROUP BY 1""",
@@ -731,6 +733,14 @@ BODIES: dict[str, str] = {
     "visible_text": f"""SELECT page_id, trim(regexp_replace({_decoded(
         f"regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')) AS text
       FROM pages""",
+    "price_context_window": f"""SELECT page_id, CAST(i - 1 AS INT) AS position,
+        array_to_string(seg[greatest(1, i - 3):i + 3], ' ') AS context FROM (
+      SELECT page_id, seg, unnest(range(1, len(seg) + 1)) AS i FROM (
+        SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(html, '{_HIDDEN}', chr(1), 'g'),
+          '(?s)<[^>]*>', chr(1), 'g'), chr(1)), lambda x: trim(regexp_replace({_decoded("x")}, '\s+', ' ', 'g'))),
+          lambda x: x <> '') AS seg
+        FROM (SELECT page_id, html FROM price_pages UNION ALL SELECT -page_id - 1, html FROM pages)))
+      WHERE regexp_matches(seg[i], '฿|บาท|\b\d{{1,3}}(?:,\d{{3}})+(?:\.\d{{2}})?\b')""",
     "extract_links": r"""SELECT DISTINCT page_id, link, contains(lower(link), 'product') OR contains(lower(link), 'item')
         OR contains(lower(link), 'detail') AS product_like FROM (
       SELECT page_id, CASE WHEN regexp_matches(h, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN h
@@ -738,8 +748,8 @@ BODIES: dict[str, str] = {
         WHEN h = '' THEN url WHEN starts_with(h, '#') THEN regexp_replace(url, '#.*$', '') || h
         WHEN starts_with(h, '?') THEN regexp_replace(url, '[?#].*$', '') || h
         ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || h END AS link
-      FROM (SELECT page_id, url, trim(replace(unnest(regexp_extract_all(html,
-        '(?is)<a\b[^>]*?\shref\s*=\s*["'']([^"''>]*)', 1)), '&amp;', '&')) AS h FROM pages))""",
+      FROM (SELECT page_id, url, trim(ltrim(replace(unnest(regexp_extract_all(html,
+        '(?is)<a\b[^>]*?\shref\s*=\s*(["''][^"''>]*|[^\s"''>]+)', 1)), '&amp;', '&'), '"''')) AS h FROM pages))""",
     "extract_jsonld": """SELECT page_id, 0 AS block, FALSE AS parse_failed, 'ItemList' AS type,
         '@type,itemListElement,name' AS keys, CAST(NULL AS VARCHAR) AS graph_types,
         CAST(len(regexp_extract_all(html, '"A\\d+"')) AS INT) AS item_list_count, 'list ' AS name
@@ -758,8 +768,8 @@ BODIES: dict[str, str] = {
     "page_fingerprint": "SELECT page_id, CAST(strlen(html) AS BIGINT) AS bytes, sha256(html) AS sha256 FROM pages",
     "keyword_normalize": r"""SELECT DISTINCT ON (keyword) keyword, doc_id, CAST(n - 1 AS INT) AS position FROM (
       SELECT doc_id, unnest(w) AS keyword, unnest(range(1, len(w) + 1)) AS n FROM (
-        SELECT doc_id, list_filter(list_transform(string_split_regex(nfc_normalize(text), '[,\n]'),
-          lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS w FROM documents))
+        SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[,\n]'),
+          lambda x: regexp_replace(nfc_normalize(x), '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS w FROM documents))
       ORDER BY keyword, doc_id, n""",
     "keyword_classify": """SELECT keyword, CASE WHEN keyword LIKE '%bolt%' OR keyword LIKE '%anvil%' OR keyword LIKE '%gear%'
       THEN 'hardware' WHEN keyword LIKE '%plate%' THEN 'kitchen' WHEN keyword LIKE '%ring%' THEN 'jewelry' ELSE 'other' END
@@ -771,13 +781,20 @@ BODIES: dict[str, str] = {
       WHERE NOT EXISTS (SELECT 1 FROM page_events e WHERE e.event_type <> 'error' AND e.keyword = w.keyword AND e.page = w.page)
       ORDER BY first_seen, page LIMIT 2000""",
     # ranking
-    "recommend_products": """SELECT request_id, external_fact_key, score, CAST(row_number() OVER (PARTITION BY request_id
+    "recommend_products": """SELECT i.request_id, i.external_fact_key, score, rank, CASE WHEN rank IS NULL THEN
+        'missing price or currency' END AS limitation FROM request_items i LEFT JOIN (
+      SELECT request_id, external_fact_key, score, CAST(row_number() OVER (PARTITION BY request_id
       ORDER BY score DESC, external_fact_key) AS INT) AS rank FROM (""" + _SCORED.format(
-        wp=0.35, wr=0.35, items=_PRICED.format(price="CAST(CAST(i.price * rate AS DECIMAL(24,6)) AS DOUBLE)", more="")) + ")",
-    "recommend_reasons": """SELECT request_id, external_fact_key, score, concat_ws('; ',
+        wp=0.35, wr=0.35, items=_PRICED.format(price="CAST(CAST(i.price * rate AS DECIMAL(24,6)) AS DOUBLE)", more=""))
+      + ")) USING (request_id, external_fact_key)",
+    "recommend_reasons": """SELECT i.request_id, i.external_fact_key, score, reasons, CASE WHEN reasons IS NOT NULL THEN NULL
+        WHEN count(*) FILTER (i.price IS NULL OR i.currency IS NULL) OVER r > 0 THEN 'missing price or currency'
+        ELSE 'several currencies' END AS limitation FROM request_items i LEFT JOIN (
+      SELECT request_id, external_fact_key, score, concat_ws('; ',
       CASE WHEN p IS NOT NULL THEN 'has price' END, CASE WHEN rating IS NOT NULL THEN 'has rating' END,
       CASE WHEN review_count IS NOT NULL THEN 'has reviews' END) AS reasons FROM (""" + _SCORED.format(
-        wp=0.6, wr=0.35, items=_PRICED.format(price="CAST(i.price AS DOUBLE)", more="AND count(DISTINCT currency) = 1")) + ")",
+        wp=0.6, wr=0.35, items=_PRICED.format(price="CAST(i.price AS DOUBLE)", more="AND count(DISTINCT currency) = 1"))
+      + ")) USING (request_id, external_fact_key) WINDOW r AS (PARTITION BY i.request_id)",
     "ranking_guard": """SELECT request_id, count(*) AS item_count, CASE WHEN count(*) NOT BETWEEN 2 AND 5
       THEN 'request must name 2 to 5 products' WHEN count(*) FILTER (price IS NULL OR currency IS NULL) > 0
       THEN 'missing price or currency' WHEN count(DISTINCT currency) > 1 THEN 'several currencies' END AS limitation

@@ -614,7 +614,7 @@ def keyword_reconcile(spark, sf):
 
 @query
 def keyword_cross_refine(spark, sf):
-    qualifiers = ["popular", "ranking", "new", "boxed", "compact", "bulk", "set", "limited", "large", "pro"]
+    qualifiers = ["popular", "ranking", "new", "boxed"]
     return K.keyword_cross_refine(I.part_words(spark, sf), qualifiers).drop("place")
 
 
@@ -720,10 +720,8 @@ def avg_price_per_currency(spark, sf):
 
 @query
 def group_items_by_currency(spark, sf):
-    """Comparisons of two to five products, grouped by currency."""
-    items = I.request_items(spark, sf)
-    fits = items.groupBy("request_id").agg(F.count("*").alias("n")).filter("n BETWEEN 2 AND 5").select("request_id")
-    grouped = A.group_items_by_currency(items.join(fits, "request_id", "left_semi"))
+    """All comparisons, grouped by currency."""
+    grouped = A.group_items_by_currency(I.request_items(spark, sf))
     return grouped.select(
         "request_id", "currency", F.size("items").alias("item_count"),
         F.array_join(F.transform("items", lambda x: x["external_fact_key"].cast("string")), ",").alias("fact_keys"),
@@ -808,7 +806,7 @@ def score_min_max(spark, sf):
 
 @query
 def price_context_window(spark, sf):
-    return P.price_context_window(I.price_pages(spark, sf))
+    return P.price_context_window(_all_pages(spark, sf))
 
 
 @query
@@ -1108,20 +1106,25 @@ def stream_fact_upsert(spark, sf):
 # --- pages and keywords ------------------------------------------------------------------------------
 
 
+def _all_pages(spark, sf):
+    """The printed price pages and the real pages, whose numbers turn negative to stay apart."""
+    real = I.table(spark, sf, "pages").select((-F.col("page_id") - 1).alias("page_id"), "url", "html")
+    return I.price_pages(spark, sf).unionByName(real)
+
+
 @query
 def extract_price_table(spark, sf):
-    return P.extract_price_table(I.price_pages(spark, sf))
+    return P.extract_price_table(_all_pages(spark, sf))
 
 
 @query
 def extract_price_cards(spark, sf):
-    return P.extract_price_cards(I.price_pages(spark, sf)).drop("description_raw")
+    return P.extract_price_cards(_all_pages(spark, sf)).drop("description_raw")
 
 
 @query
 def extraction_diagnostics(spark, sf):
-    real = I.table(spark, sf, "pages").select("page_id", "url", "html")
-    return P.extraction_diagnostics(I.price_pages(spark, sf).unionByName(real))
+    return P.extraction_diagnostics(_all_pages(spark, sf))
 
 
 @query
@@ -1148,12 +1151,12 @@ def extract_links(spark, sf):
 
 @query
 def extract_jsonld(spark, sf):
-    return P.extract_jsonld(I.price_pages(spark, sf))
+    return P.extract_jsonld(_all_pages(spark, sf))
 
 
 @query
 def redirect_price_candidates(spark, sf):
-    found = P.redirect_price_candidates(I.price_pages(spark, sf))
+    found = P.redirect_price_candidates(_all_pages(spark, sf))
     return found.select("page_id", "redirect_id", "position", F.size("nearby_prices").alias("price_count"),
                         F.array_join("nearby_prices", "|").alias("nearby_prices"))
 
@@ -1192,15 +1195,15 @@ def select_work(spark, sf):
 @query
 def recommend_products(spark, sf):
     ranked = R.recommend_products(I.request_items(spark, sf), "balanced", "thb", I.fx_rates(spark))
-    return ranked.select("request_id", "external_fact_key", "score", "rank")
+    return ranked.select("request_id", "external_fact_key", "score", "rank", "limitation")
 
 
 @query
 def recommend_reasons(spark, sf):
     ranked = R.recommend_products(I.request_items(spark, sf), "price")
-    return ranked.select("request_id", "external_fact_key", "score", F.array_join("reasons", "; ").alias("reasons"))
+    return ranked.select("request_id", "external_fact_key", "score", F.array_join("reasons", "; ").alias("reasons"), "limitation")
 
 
 @query
 def ranking_guard(spark, sf):
-    return R.ranking_guard(I.request_items(spark, sf))
+    return R.ranking_guard(I.request_items(spark, sf), sizes=(2, 5))

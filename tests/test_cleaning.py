@@ -57,6 +57,14 @@ def scalar_cases():
         (C.strip_nul(F.lit("a\u0000b")), "ab"),
         (C.blank_to_default(F.lit("  ")), "Uncategorized"),
         (C.epoch_to_timestamp(F.lit("soon")), None),
+        (C.epoch_to_timestamp(F.lit(1_760_000_000_000_000)), None),
+        (C.epoch_to_timestamp(F.lit("99999999999999999999")), None),
+        (C.epoch_to_timestamp(F.lit(-(10**15))), None),
+        (C.epoch_to_timestamp(F.lit(-1)), datetime(1969, 12, 31, 23, 59, 59)),
+        (C.null_negative(F.lit(float("nan"))), None),
+        (C.null_negative(F.lit(float("inf"))), None),
+        (C.null_negative(F.lit(float("-inf"))), None),
+        (C.null_negative(F.lit(0)), 0),
         (C.to_utc_naive(F.lit("2026-10-12T07:00:00+07:00")), datetime(2026, 10, 12)),
         (C.parse_timestamp_pattern(F.lit("2026-10-12 01:02:03.004")), datetime(2026, 10, 12, 1, 2, 3, 4000)),
         (C.fallback_product_name(F.lit(" \t"), F.lit("9"), "Etsy"), "Etsy product 9"),

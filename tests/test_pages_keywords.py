@@ -2,11 +2,13 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyshelf.operators import aggregates as A
 from tallyshelf.operators import keywords as K
 from tallyshelf.operators import pages as P
+from tallyshelf.operators.gates import GateError
 
 TABLE = ('<table><tr><td>Example Desktop</td><td><a href="/nescen-n039/product/productdetail/A0123456">Detail</a></td>'
          "<td>฿ 12,345</td></tr></table>")
@@ -118,9 +120,49 @@ def test_keywords(spark):
     groups = {r.keyword: r.category for r in K.keyword_classify(words).collect()}
     assert groups == {"カメラ": "家電", "靴": "ファッション", "ソファ": "家具", "x": "生活用品"}
     assert {r.keyword for r in K.keyword_priority(words, high=2).filter("priority = 'high'").collect()} == {"カメラ", "靴"}
-    refined = K.keyword_cross_refine(words, ["q", "r"], size=9).orderBy("qualifier_no", "place").collect()
+    refined = K.keyword_cross_refine(words, ["q", "r"], size=9).orderBy("refinement", "place").collect()
     assert [r.keyword for r in refined[4:]] == ["カメラ q", "靴 q", "ソファ q", "x q", "カメラ r"]
     assert K.keyword_cross_refine(words, ["q"], size=2).count() == 4
+    with pytest.raises(GateError):
+        K.keyword_cross_refine(words, ["q"], size=9)
+
+
+def test_words_are_cut_before_they_are_normalized(spark):
+    texts = spark.createDataFrame([(1, "靴，バッグ,帽子,\u3000,ｶﾒﾗ\u3000,カメラ"), (2, None), (3, "")], "doc_id int, text string")
+    words = {r.keyword: r.first_seen.position for r in K.keyword_normalize(texts, ["doc_id"]).collect()}
+    assert words == {"靴,バッグ": 0, "帽子": 1, "カメラ": 3}
+
+
+def listed(words, qualifiers):
+    """The list as it grows: each qualifier refines everything so far."""
+    out = list(words)
+    for q in qualifiers:
+        for w in list(out):
+            if f"{w} {q}" not in out:
+                out.append(f"{w} {q}")
+    return out
+
+
+@pytest.mark.parametrize("base, qualifiers", [(["a", "b"], ["x", "y"]), (["a", "a x", "b y", "a x y"], ["x", "y", "z"]), (["a"], [])])
+def test_refinements_in_list_order(spark, base, qualifiers):
+    words = spark.createDataFrame([(w, n) for n, w in enumerate(base)], "keyword string, first_seen int")
+    got = K.keyword_cross_refine(words, qualifiers).orderBy("refinement", "place").collect()
+    assert [r.keyword for r in got] == listed(base, qualifiers)
+
+
+def test_newest_state_counts(spark):
+    p = spark.createDataFrame([("a", 0), ("b", 1)], "keyword string, plan_no int")
+    s = spark.createDataFrame([("a", "partial", 1, 5), ("a", "completed", 2, 3), ("b", "partial", 9, 1), ("b", "completed", 1, 2)],
+                              "keyword string, state string, last_page int, at int")
+    none = spark.createDataFrame([], "keyword string, page int")
+    assert [tuple(r) for r in K.select_work(p, s, none, 3, 9, "at").collect()] == [("a", 2), ("a", 3)]
+
+
+def test_references_and_unquoted_links(spark):
+    html = "<p>&#3647; 5 &#x0E3F;6&nbsp;&eacute;&amp;lt; &unknown; &#0; &#xD800; &#9999999; &copy;</p><a class=x href=/b>t</a><A HREF = c/d >"
+    row = P.visible_text(pages(spark, html)).first().text
+    assert row == "฿ 5 ฿6 é&lt; &unknown; &#0; &#xD800; &#9999999; © t"
+    assert {r.link for r in P.extract_links(pages(spark, html)).collect()} == {"https://shop.example/b", "https://shop.example/a/c/d"}
 
 
 def test_reconcile_keeps_rows_without_state(spark):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyshelf import schemas as S
 from tallyshelf.operators import recommend as R
+from tallyshelf.operators.joins import convert_currency
 from tallyshelf.operators import search
 from tallyshelf.operators.gates import GateError
 from tallyshelf.plans import warehouse as W
@@ -33,14 +34,29 @@ def test_guard(spark):
     rows = [(1, 1, "USD", 1.0), (1, 2, None, None), (2, 1, "USD", 1.0), (2, 2, "GBP", 1.0), (3, 1, "USD", 1.0)]
     rows += [(4, i, "USD", 1.0) for i in range(5000)] + [(5, 1, "THB", 1.0), (5, 2, "USD", 1.0), (6, 1, "XXX", 1.0), (6, 2, "USD", 1.0)]
     items = spark.createDataFrame([(*r, 1.0, 1) for r in rows], ITEMS)
-    why = {r.request_id: r.limitation for r in R.ranking_guard(items).collect()}
+    why = {r.request_id: r.limitation for r in R.ranking_guard(items, sizes=(2, 5)).collect()}
     assert why == {1: "missing price or currency", 2: "several currencies", 3: "request must name 2 to 5 products",
                    4: "request must name 2 to 5 products", 5: "several currencies", 6: "several currencies"}
     rates = spark.createDataFrame([("USD", "THB", Decimal("33.5"), date(2026, 10, 11)), ("GBP", "THB", Decimal("44"), date(2026, 10, 10))],
                                   "base string, target string, rate decimal(18,6), rate_date date")
-    why = {r.request_id: r.limitation for r in R.ranking_guard(items, "thb", rates).collect()}
+    why = {r.request_id: r.limitation for r in R.ranking_guard(items, "thb", rates, (2, 5)).collect()}
     assert (why[2], why[5], why[6]) == ("exchange rate dates differ", None, "exchange rate unavailable")
-    assert {r.request_id for r in R.recommend_products(items, "price", "thb", rates).collect()} == {5}
+    ranked = R.recommend_products(items, "price", "thb", rates, (2, 5)).collect()
+    assert len(ranked) == len(rows) and {r.request_id for r in ranked if r.rank} == {5}
+    assert all((r.limitation is None) == (r.rank is not None) == (r.score is not None) for r in ranked)
+    # Without a bound, large and single requests are ranked as well.
+    assert {r.request_id for r in R.recommend_products(items).collect() if r.rank} == {3, 4}
+
+
+def test_rates_are_not_met_by_a_shuffle_on_currency(spark):
+    items = spark.createDataFrame([(1, 1, "USD", 10.0, 5.0, 1)], ITEMS)
+    rates = spark.createDataFrame([("USD", "THB", Decimal("33"), date(2026, 10, 11)), ("USD", "THB", Decimal("31"), date(2026, 10, 9)),
+                                   (None, "THB", Decimal("1"), date(2026, 10, 9))],
+                                  "base string, target string, rate decimal(18,6), rate_date date")
+    converted = convert_currency(items, rates)
+    assert [float(r.price_converted) for r in converted.collect()] == [330.0]
+    plan = converted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 def test_search_conditions_concern_the_latest_fact(spark, tmp_path):
