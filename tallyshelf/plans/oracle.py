@@ -311,6 +311,12 @@ _PRICED = """SELECT i.request_id, i.external_fact_key, i.rating, i.review_count,
     HAVING count(*) FILTER (price IS NULL OR currency IS NULL) = 0 {more}) g USING (request_id)
   LEFT JOIN rates ON base = currency"""
 _CATALOG = "FROM products WHERE source_system = 'amazon_2023'"
+_CELLS = "platform, external_product_id, product_name, currency, price, observation_date"
+_LOADED = """SELECT platform AS marketplace, observation_date, external_product_id AS source_product_id, {name} AS product_name,
+  currency, CAST({price} AS DECIMAL(18,4)) AS price, CAST({rating} AS DECIMAL(5,2)) AS rating
+  FROM daily d JOIN (SELECT platform, external_product_id, arg_max(product_name, (collected_at, product_name)) AS newest,
+    min(observation_date) AS first_day FROM daily GROUP BY ALL) USING (platform, external_product_id)"""
+_OLD = "CASE WHEN observation_date < DATE '2001-01-01' THEN 1 ELSE {} END"
 _MARKET = "FROM products WHERE source_system <> 'internal'"
 _BLANK = "count(*) FILTER ({c} IS NULL OR trim({c}) = '')"
 _CANONICAL_DAILY = "platform, external_product_id, observation_date"
@@ -334,24 +340,38 @@ def _tie_pick(table: str, keys: str, skip: set[str], columns: list[str] = RAW, o
     )
 
 
+_HYBRID = """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY external_product_id
+        ORDER BY collected_at DESC, product_name, category, brand, currency, price NULLS LAST, rating NULLS LAST,
+        review_count) AS rn FROM (
+      SELECT 'amazon_csv' AS platform, CASE WHEN p_size <> 1 THEN CAST(p_partkey // 2 AS VARCHAR) END AS external_product_id,
+        p_name AS product_name, p_type AS category, p_brand AS brand, 'USD' AS currency,
+        CASE WHEN p_size NOT IN (2, 3) THEN CAST(p_size AS DOUBLE) END AS price,
+        CASE WHEN p_size / 5.0 <= 5 THEN CAST(p_size AS DOUBLE) / 5 END AS rating, CAST(p_size * 7 AS BIGINT) AS review_count,
+        CAST(NULL AS VARCHAR) AS seller_name,
+        make_timestamp(2023, 1 + p_size % 9, 10 + p_partkey % 10, 10, 0, 0.125) AS collected_at,
+        'historical_csv' AS raw_source, make_date(2023, 1 + p_size % 9, 10 + p_partkey % 10) AS observation_date FROM part)
+      WHERE external_product_id IS NOT NULL) WHERE rn = 1"""
 BODIES: dict[str, str] = {
     # sources and sinks
-    "read_optional_source": "SELECT platform, count(*) AS rows FROM std WHERE product_url LIKE '%/ebay/%' GROUP BY 1",
+    "read_optional_source": """SELECT platform, external_product_id, product_name, price, collected_at, product_url
+      FROM std WHERE product_url NOT LIKE '%/etsy/%'""",
     "read_heterogeneous_snapshots": """SELECT raw_source, count(*) AS rows, count(price) AS priced,
       CASE WHEN raw_source = 'batch_A' THEN 0 ELSE count(seller_name) END AS sellers FROM std GROUP BY 1""",
+    "read_latest_snapshot_sample": """SELECT * FROM price_list WHERE CAST(split_part(snapshot, '-', 2) AS BIGINT) =
+      (SELECT max(p_partkey // 500) FROM part) ORDER BY ALL LIMIT 100""",
     "read_gz_jsonl_typed": """SELECT main_category, count(*) AS rows, count(parent_asin) AS ids, count(price) AS prices,
       CAST(sum(rating_number) AS BIGINT) AS ratings FROM metadata GROUP BY 1""",
     "read_multiline_json_products": """SELECT snapshot AS dataset, external_product_id, product_name, category, price, currency
       FROM price_list""",
     "read_json_inferred": "SELECT * FROM silver",
-    "read_csv_strict": "SELECT brand, count(*) AS rows, count(DISTINCT product_name) AS titles FROM titles GROUP BY 1",
+    "read_csv_strict": "SELECT product_name, brand FROM titles",
     "read_partition_with_base": "SELECT platform, brand, count(*) AS rows FROM daily WHERE platform = 'etsy' GROUP BY ALL",
-    "read_parquet_glob": "SELECT l_returnflag, count(*) AS rows FROM lineitem GROUP BY 1",
+    "read_parquet_glob": "SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM lineitem",
     "read_warehouse_table": "SELECT product_key, source_system, source_product_id FROM products",
     "list_unprepared_snapshots": """SELECT '/in/page_' || page_id || '.json' AS path FROM pages
       WHERE page_id NOT IN (SELECT doc_id FROM labels)""",
     "write_partitioned_products": "SELECT platform, observation_date, count(*) AS rows FROM daily GROUP BY ALL",
-    "write_once": "SELECT snapshot, count(*) AS rows FROM price_list GROUP BY 1",
+    "write_once": "SELECT snapshot, external_product_id, product_name, price FROM price_list",
     "write_json_presentation": "SELECT platform AS source_system, currency, count(*) AS total_rows FROM daily GROUP BY ALL",
     "write_quoted_csv": """SELECT 'amazon_2023' AS source_system, source_product_id, product_name,
       nullif(category, '') AS category, nullif(brand, '') AS brand FROM best_titles""",
@@ -370,7 +390,13 @@ BODIES: dict[str, str] = {
         FROM good_prices) WHERE rn = 1""",
     "export_price_snapshot_csv": """SELECT external_product_id AS source_product_id,
       CAST(TRY_CAST(price AS DECIMAL(12,2)) AS VARCHAR) AS price_thb, observed_at_utc, price_list_last_update, source_page
-      FROM good_prices""",
+      FROM (SELECT *, min(observed_at_utc) OVER s = max(observed_at_utc) OVER s AS one_time FROM (
+          SELECT *, count(*) OVER (PARTITION BY snapshot, external_product_id) AS n FROM price_list)
+        WHERE n = 1 AND source_system = 'advice_th' AND regexp_full_match(external_product_id, 'A[0-9]+')
+          AND trim(product_name) <> '' AND currency = 'THB' AND price > 0 AND price = round(price, 2)
+          AND price <= 9999999999.99 AND observed_at_utc <> 'soon' AND price_list_last_update <> ''
+          AND starts_with(source_page, 'https://www.advice.co.th/')
+        WINDOW s AS (PARTITION BY snapshot)) WHERE one_time""",
     # cleaning
     "standardize": "SELECT * FROM std",
     "add_missing_columns": f"""SELECT {', '.join(
@@ -425,8 +451,8 @@ BODIES: dict[str, str] = {
       order_status, CAST(coalesce((SELECT sum(line_total) FROM items i WHERE i.order_id = o.order_id), 0) AS DECIMAL(14,2))
       AS total_amount FROM shop_orders o""",
     # gates
-    "filter_valid_core": "SELECT platform, count(*) AS rows FROM valid GROUP BY 1",
-    "filter_loadable": "SELECT platform, count(*) AS rows FROM std WHERE observation_date IS NOT NULL GROUP BY 1",
+    "filter_valid_core": f"SELECT {_CELLS} FROM valid",
+    "filter_loadable": f"SELECT {_CELLS} FROM std WHERE observation_date IS NOT NULL",
     "filter_valid_price_list": "SELECT external_product_id, product_name, price FROM good_prices",
     "validate_price_snapshot": """SELECT snapshot, external_product_id, reason FROM (
       SELECT snapshot, external_product_id, unnest([CASE WHEN source_system <> 'advice_th' THEN 'wrong_source' END,
@@ -487,8 +513,10 @@ BODIES: dict[str, str] = {
       FROM sales_keyed""",
     "missing_dates_check": "SELECT count(*) AS missing FROM daily WHERE observation_date NOT IN (SELECT full_date FROM dates)",
     "marketplace_snapshot": "SELECT * FROM snapshot",
-    "platform_left_quality_join": """SELECT platform_name, count(external_fact_key) AS fact_rows FROM platforms
-      LEFT JOIN facts USING (platform_key) GROUP BY 1""",
+    "platform_left_quality_join": """SELECT platform_name, count(external_fact_key) AS fact_rows,
+      count(source_product_id) AS product_rows, count(full_date) AS day_rows, max(full_date) AS newest_day FROM platforms
+      LEFT JOIN facts USING (platform_key) LEFT JOIN products USING (product_key) LEFT JOIN dates USING (date_key)
+      GROUP BY 1""",
     "compare_products": "SELECT * FROM request_items",
     "product_history": """SELECT p.product_key, source_product_id, product_name, category, brand, platform_name, currency, price,
       rating, review_count, product_url, collected_at, external_fact_key
@@ -633,8 +661,8 @@ BODIES: dict[str, str] = {
     "union_marketplaces": """SELECT source, product_url, CASE WHEN source <> 'stockx' THEN price END AS price,
       CASE WHEN source <> 'stockx' THEN currency END AS currency, CASE WHEN source = 'stockx' THEN rating END AS rating,
       sold_count FROM raw""",
-    "union_strict": """SELECT platform, count(*) AS rows FROM (SELECT platform FROM daily UNION ALL
-      SELECT platform FROM historical) GROUP BY 1""",
+    "union_strict": f"""SELECT {_CELLS}, raw_source FROM daily UNION ALL
+      SELECT {_CELLS}, raw_source FROM historical""",
     "missing_dates": """SELECT DISTINCT observation_date AS full_date FROM daily
       WHERE observation_date NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders)""",
     "distinct_order_dates": "SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders",
@@ -658,26 +686,33 @@ BODIES: dict[str, str] = {
       SELECT CAST(p_type = 'PROMO' AS INT) AS c, row_number() OVER (PARTITION BY p_type = 'PROMO'
         ORDER BY substr(md5('internal|' || p_partkey), 1, 3), CAST(p_partkey AS VARCHAR)) AS k,
         CAST(p_partkey AS VARCHAR) AS source_product_id, p_name AS product_name, 'SKU-' || p_partkey AS sku FROM part)""",
-    "upsert_dim_customer": "SELECT * FROM customers",
-    "upsert_fact_sales": "SELECT * FROM sales",
-    "load_fact_external": "SELECT * FROM facts",
-    "upsert_fact_external": """SELECT count(*) AS rows, count(*) AS keys, count(*) AS max_key,
-      CAST(sum(CAST(price AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS price_sum,
-      CAST(sum(CASE WHEN observation_date < DATE '2001-01-01' THEN 1 ELSE CAST(rating AS DECIMAL(5,2)) END) AS DECIMAL(28,2))
-        AS rating_sum FROM daily""",
-    "load_catalog_dim": f"SELECT * EXCLUDE (sku, updated_at) {_CATALOG}",
+    "upsert_dim_customer": """SELECT CASE WHEN age < 60 THEN k ELSE k + (SELECT count(*) FROM customers_src WHERE age < 60) END
+      AS customer_key, * EXCLUDE (k) FROM (SELECT *, row_number() OVER (PARTITION BY age < 60
+        ORDER BY substr(md5(CAST(source_customer_id AS VARCHAR)), 1, 3), source_customer_id) AS k FROM customers_src)""",
+    # Product keys of this warehouse: internal products alone.
+    "upsert_fact_sales": """SELECT k + CASE WHEN sales_channel = 'web' THEN 0 ELSE
+        (SELECT count(*) FROM sales WHERE sales_channel = 'web') END AS sales_key, * EXCLUDE (k, sales_channel) FROM (
+      SELECT row_number() OVER (PARTITION BY sales_channel = 'web' ORDER BY
+          substr(md5(order_id || '|' || own_key), 1, 4), order_id, own_key) AS k,
+        order_id, source_product_id, date_key, quantity, line_total, payment_method, order_status, sales_channel
+      FROM sales JOIN products USING (product_key) JOIN (SELECT source_product_id, row_number() OVER (
+        ORDER BY substr(md5('internal|' || source_product_id), 1, 3), source_product_id) AS own_key
+        FROM products WHERE source_system = 'internal') USING (source_product_id) WHERE source_system = 'internal')""",
+    "load_fact_external": _LOADED.format(
+        name="CASE WHEN first_day < DATE '2001-01-01' THEN 'old name' ELSE newest END", price=_OLD.format("price"),
+        rating=_OLD.format("rating")),
+    # The upsert refreshes prices and names; ratings of stored facts stay.
+    "upsert_fact_external": _LOADED.format(name="newest", price="price", rating=_OLD.format("rating")),
+    "load_catalog_dim": """SELECT CASE WHEN held THEN k ELSE k + (SELECT count(*) FROM best_titles WHERE category = 'PROMO') END
+        AS product_key, 'amazon_2023' AS source_system, source_product_id,
+        product_name || CASE WHEN held THEN ' as first stored' ELSE '' END AS product_name, nullif(category, '') AS category,
+        brand FROM (SELECT *, coalesce(category, '') = 'PROMO' AS held, row_number() OVER (
+          PARTITION BY coalesce(category, '') = 'PROMO'
+          ORDER BY substr(md5('amazon_2023|' || source_product_id), 1, 3), source_product_id) AS k FROM best_titles)""",
     "amazon_historical_adapter": "SELECT * FROM historical",
-    "hybrid_csv_adapter": """SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY external_product_id
-        ORDER BY collected_at DESC, product_name, category, brand, currency, price NULLS LAST, rating NULLS LAST,
-        review_count) AS rn FROM (
-      SELECT 'amazon_csv' AS platform, CASE WHEN p_size <> 1 THEN CAST(p_partkey % 1000 AS VARCHAR) END AS external_product_id,
-        p_name AS product_name, p_type AS category, p_brand AS brand, 'USD' AS currency,
-        CASE WHEN p_size NOT IN (2, 3) THEN CAST(p_size AS DOUBLE) END AS price,
-        CASE WHEN p_size / 5.0 <= 5 THEN CAST(p_size AS DOUBLE) / 5 END AS rating, CAST(p_size * 7 AS BIGINT) AS review_count,
-        CAST(NULL AS VARCHAR) AS seller_name,
-        make_timestamp(2023, 1 + p_size % 9, 10 + p_partkey % 10, 10, 0, 0.125) AS collected_at,
-        'historical_csv' AS raw_source, make_date(2023, 1 + p_size % 9, 10 + p_partkey % 10) AS observation_date FROM part)
-      WHERE external_product_id IS NOT NULL) WHERE rn = 1""",
+    "csv_import": f"""SELECT p.platform, h.* EXCLUDE (platform, seller_name, collected_at, raw_source) FROM ({_HYBRID}) h,
+      (VALUES ('amazon_csv'), ('walmart_csv')) p(platform)""",
+    "hybrid_csv_adapter": _HYBRID,
     "advice_adapter": """SELECT source_system AS platform, external_product_id, product_name, category, currency, price,
       product_url, observed_at_utc AS collected_at, price_list_last_update AS source_updated_at,
       'advice_th_public_price_list' AS raw_source FROM good_prices""",
@@ -693,16 +728,18 @@ BODIES: dict[str, str] = {
       FROM raw WHERE trim(external_product_id) <> '' AND trim(product_name) <> ''
       AND TRY_CAST(collected_at AS TIMESTAMP) IS NOT NULL GROUP BY 1""",
     "stream_first_seen_dedup": "SELECT DISTINCT source || '/' || listing_id AS listing_id FROM listings",
-    "stream_idempotent_page_sink": """SELECT count(*) AS rows, count(DISTINCT source || '/' || listing_id) AS ids FROM listings""",
-    "stream_keyword_progress": """SELECT DISTINCT ON (keyword) 'kw ' || user_id AS keyword,
-      CAST(json_extract_string(props, '$.k') AS INT) + 1 AS next_page, event_type = 'purchase' AS completed, ts AS updated_at
-      FROM events ORDER BY keyword, ts DESC, event_id DESC""",
+    "stream_idempotent_page_sink": """SELECT source || '/' || listing_id AS listing_id, page, position, collected_at
+      FROM listings""",
+    "stream_keyword_progress": """SELECT keyword, next_offset, results = 0 OR results < 100 OR next_offset > 12000
+        OR coalesce(next_offset >= total, FALSE) AS completed, updated_at FROM (
+      SELECT DISTINCT ON (keyword) 'kw ' || user_id AS keyword, results,
+        CAST(json_extract_string(props, '$.k') AS INT) * 125 + results AS next_offset,
+        CASE WHEN user_id % 3 = 0 THEN 5000 END AS total, ts AS updated_at
+      FROM (SELECT *, CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 37 ELSE 100 END AS results FROM events)
+      ORDER BY keyword, ts DESC, event_id DESC)""",
     "stream_daily_metrics": """SELECT CAST(ts AS DATE) AS day, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT)
       AS http_attempts, count(*) FILTER (event_type = 'error') AS http_429 FROM events GROUP BY 1""",
-    "stream_fact_upsert": """SELECT platform AS platform_name, count(*) AS snapshots,
-      count(DISTINCT external_product_id) AS distinct_products, min(collected_at) AS first_collected_at,
-      max(collected_at) AS last_collected_at, count(*) FILTER (currency IS NULL) AS blank_currency_rows
-      FROM daily GROUP BY 1""",
+    "stream_fact_upsert": _LOADED.format(name="newest", price="price", rating=_OLD.format("rating")),
     # pages
     "extract_price_table": """SELECT p_partkey // 20 AS page_id, 'A' || lpad(CAST(p_partkey AS VARCHAR), 7, '0')
       AS external_product_id, p_name AS product_name, round(p_retailprice, 2) AS price, 'THB' AS currency,
@@ -733,7 +770,7 @@ BODIES: dict[str, str] = {
     "visible_text": f"""SELECT page_id, trim(regexp_replace({_decoded(
         f"regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')) AS text
       FROM pages""",
-    "price_context_window": f"""SELECT page_id, CAST(i - 1 AS INT) AS position,
+    "price_context_window": rf"""SELECT page_id, CAST(i - 1 AS INT) AS position,
         array_to_string(seg[greatest(1, i - 3):i + 3], ' ') AS context FROM (
       SELECT page_id, seg, unnest(range(1, len(seg) + 1)) AS i FROM (
         SELECT page_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(html, '{_HIDDEN}', chr(1), 'g'),

@@ -25,7 +25,10 @@ QUERIES: dict[str, Query] = {}
 # Parameters of the search queries.
 SEARCH = {"q": "ring", "platforms": ["ebay", "etsy", "advice_th"], "min_price": 500.0, "max_price": 90000.0}
 CATALOG_SEARCH = {"q": "bolt", "category": "SMALL"}
+# Files, and so micro-batches, of a stream query.
+BATCHES = 3
 # Marker words that fit the test vocabulary.
+SNAPSHOT_CELLS = ["platform", "external_product_id", "product_name", "currency", "price", "observation_date"]
 ENGLISH_MARKERS = {"hardware": ["bolt", "anvil", "gear"], "kitchen": ["plate"], "jewelry": ["ring"]}
 
 
@@ -51,10 +54,11 @@ def _work_dir(spark: SparkSession, sf_dir: str, name: str) -> str:
 def read_optional_source(spark, sf):
     """Marketplaces that delivered; one that did not is skipped."""
     root = _work_dir(spark, sf, "sources")
-    raw = I.raw_snapshots(spark, sf)
-    raw.filter("source = 'ebay'").drop("source").write.parquet(f"{root}/ebay")
-    found = readers.read_available_sources(spark, {p: f"{root}/{p}" for p in ("ebay", "etsy")})
-    return A.platform_counts(found)
+    raw, delivered = I.raw_snapshots(spark, sf), ("ebay", "rakuten", "stockx", "advice_th")
+    for name in delivered:
+        raw.filter(F.col("source") == name).drop("source").write.parquet(f"{root}/{name}")
+    found = readers.read_available_sources(spark, {p: f"{root}/{p}" for p in (*delivered, "etsy")})
+    return found.select("platform", "external_product_id", "product_name", "price", "collected_at", "product_url")
 
 
 @query
@@ -73,8 +77,13 @@ def read_heterogeneous_snapshots(spark, sf):
 
 @query
 def read_latest_snapshot_sample(spark, sf):
+    """The newest price list, delivered after all others as a file of its own (500 part numbers at most)."""
     root = _work_dir(spark, sf, "newest")
-    I.price_list(spark, sf).write.parquet(root)
+    lists = I.price_list(spark, sf)
+    number = F.substring_index("snapshot", "-", -1).cast("bigint")
+    last = lists.agg(F.max(number)).first()[0]
+    lists.filter(number < last).write.parquet(root)
+    lists.filter(number == last).coalesce(1).write.mode("append").parquet(root)
     return readers.read_latest_snapshot_sample(spark, root, 100)
 
 
@@ -117,7 +126,7 @@ def read_csv_strict(spark, sf):
     root = _work_dir(spark, sf, "csv")
     writers.write_quoted_csv(I.catalog_titles(spark, sf), root)
     df = readers.read_csv_strict(spark, root, ["source_product_id", "product_name"])
-    return df.groupBy("brand").agg(F.count("*").alias("rows"), F.countDistinct("product_name").alias("titles"))
+    return df.select("product_name", "brand")
 
 
 @query
@@ -131,7 +140,7 @@ def read_partition_with_base(spark, sf):
 @query
 def read_parquet_glob(spark, sf):
     df = readers.read_parquet_glob(spark, f"{sf}/lineite*.parquet")
-    return df.groupBy("l_returnflag").agg(F.count("*").alias("rows"))
+    return df.select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
 
 
 @query
@@ -165,8 +174,8 @@ def write_partitioned_products(spark, sf):
 @query
 def write_once(spark, sf):
     root = _work_dir(spark, sf, "once")
-    writers.write_once(I.price_list(spark, sf), root, files=2)
-    return spark.read.parquet(root).groupBy("snapshot").agg(F.count("*").alias("rows"))
+    writers.write_once(I.price_list(spark, sf), root)
+    return spark.read.parquet(root).select("snapshot", "external_product_id", "product_name", "price")
 
 
 @query
@@ -179,7 +188,7 @@ def write_json_presentation(spark, sf):
 @query
 def write_quoted_csv(spark, sf):
     root = _work_dir(spark, sf, "quoted")
-    writers.write_quoted_csv(W.catalog_dim_rows(I.catalog_titles(spark, sf)).drop("sku"), root, files=8)
+    writers.write_quoted_csv(W.catalog_dim_rows(I.catalog_titles(spark, sf)).drop("sku"), root)
     return spark.read.option("header", True).option("nullValue", "\\N").option("escape", '"').csv(root)
 
 
@@ -211,7 +220,15 @@ def export_dim_csv(spark, sf):
 
 @query
 def export_price_snapshot_csv(spark, sf):
-    return writers.price_snapshot_rows(Z.filter_valid_price_list(I.price_list(spark, sf)))
+    """Price lists without the rows that break a rule, exported past the gate and read back."""
+    root = _work_dir(spark, sf, "prices")
+    rows = I.price_list(spark, sf)
+    bad = G.validate_price_snapshot(rows).filter("external_product_id IS NOT NULL").select("snapshot", "external_product_id")
+    clean = rows.join(bad.distinct(), ["snapshot", "external_product_id"], "left_anti")
+    mixed = G.validate_price_snapshot(clean).filter("external_product_id IS NULL").select("snapshot")
+    clean = clean.join(mixed.distinct(), "snapshot", "left_anti")
+    writers.export_price_snapshot_csv(clean, G.validate_price_snapshot(clean), root)
+    return spark.read.option("header", True).csv(root)
 
 
 # --- cleaning ------------------------------------------------------------------------------
@@ -436,12 +453,12 @@ def line_and_order_totals(spark, sf):
 
 @query
 def filter_valid_core(spark, sf):
-    return A.platform_counts(I.valid_snapshots(spark, sf))
+    return I.valid_snapshots(spark, sf).select(*SNAPSHOT_CELLS)
 
 
 @query
 def filter_loadable(spark, sf):
-    return A.platform_counts(Z.filter_loadable(I.standardized(spark, sf)))
+    return Z.filter_loadable(I.standardized(spark, sf)).select(*SNAPSHOT_CELLS)
 
 
 @query
@@ -583,12 +600,19 @@ def marketplace_snapshot(spark, sf):
 
 @query
 def platform_left_quality_join(spark, sf):
-    """Platforms with their facts; one without facts keeps its row."""
+    """Platforms with their facts, and the products and days those name; one without facts keeps its row."""
     wh = I.frames(spark, sf)
-    counts = wh["fact_external_product"].groupBy("platform_key").agg(F.count("*").alias("n"))
-    return wh["dim_platform"].join(counts, "platform_key", "left").select(
-        "platform_name", F.coalesce("n", F.lit(0)).alias("fact_rows")
+    products = wh["dim_product"].select("product_key", "source_product_id")
+    days = wh["dim_date"].select("date_key", "full_date")
+    counts = (
+        wh["fact_external_product"].select("platform_key", "product_key", "date_key")
+        .join(products, "product_key", "left").join(days, "date_key", "left").groupBy("platform_key").agg(
+            F.count("*").alias("fact_rows"), F.count("source_product_id").alias("product_rows"),
+            F.count("full_date").alias("day_rows"), F.max("full_date").alias("newest_day"),
+        )
     )
+    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("fact_rows", "product_rows", "day_rows")]
+    return wh["dim_platform"].join(counts, "platform_key", "left").select("platform_name", *filled, "newest_day")
 
 
 @query
@@ -859,7 +883,7 @@ def union_marketplaces(spark, sf):
 def union_strict(spark, sf):
     metadata = adapters.amazon_historical_adapter(I.catalog_metadata(spark, sf))
     both = Z.union_strict([I.daily_snapshots(spark, sf), metadata.select(*S.STANDARD_COLUMNS)])
-    return A.platform_counts(both)
+    return both.select(*SNAPSHOT_CELLS, "raw_source")
 
 
 @query
@@ -932,38 +956,70 @@ def upsert_dim_product(spark, sf):
 
 @query
 def upsert_dim_customer(spark, sf):
-    return I.star(spark, sf).read("dim_customer", [f.name for f in S.DIM_CUSTOMER if f.name != "created_at"])
+    """Younger customers stored with old cells, then everyone upserted: keys stay, cells change, others come in."""
+    wh = W.Warehouse(spark, _work_dir(spark, sf, "customers"))
+    rows = W.internal_customer_rows(I.internal_tables(spark, sf)["customers"])
+    for batch in (rows.filter("age < 60").withColumns({"age": F.lit(0), "province": F.lit("old")}), rows):
+        with wh.publish() as load:
+            W.upsert_dim_customer(load, batch)
+    return wh.read("dim_customer", [f.name for f in S.DIM_CUSTOMER if f.name != "created_at"])
 
 
 @query
 def upsert_fact_sales(spark, sf):
-    return I.star(spark, sf).read("fact_sales", [f.name for f in S.FACT_SALES if f.name != "loaded_at"])
+    """Web orders loaded as open, then all orders: stored sales take the new cells, others come in."""
+    wh = W.Warehouse(spark, _work_dir(spark, sf, "sales"))
+    shop = I.internal_tables(spark, sf)
+    early = shop["orders"].filter("sales_channel = 'web'").withColumns(
+        {"order_status": F.lit("open"), "payment_method": F.lit("unknown")}
+    )
+    for orders in (early, shop["orders"]):
+        W.load_internal(wh, shop["products"], shop["customers"], orders, shop["order_items"])
+    products = wh.read("dim_product", ["product_key", "source_product_id"])
+    return wh.read("fact_sales").join(products, "product_key").select(
+        "sales_key", "order_id", "source_product_id", "date_key", "quantity", "line_total", "payment_method", "order_status"
+    )
 
 
 @query
 def load_fact_external(spark, sf):
-    return I.star(spark, sf).read("fact_external_product")
+    """The earlier years at price 1, then everything: stored facts stay as they are, new ones come in."""
+    wh = W.Warehouse(spark, _work_dir(spark, sf, "facts-insert"))
+    daily = I.processed_snapshots(spark, sf)
+    W.load_fact_external(wh, _older(daily))
+    W.load_fact_external(wh, daily)
+    return _loaded_facts(wh)
+
+
+def _older(daily):
+    return daily.filter(EARLIER).withColumns({"price": F.lit(1.0), "rating": F.lit(1.0), "product_name": F.lit("old name")})
+
+
+def _loaded_facts(wh):
+    return J.marketplace_snapshot(wh.frames()).select(
+        "marketplace", "observation_date", "source_product_id", "product_name", "currency", "price", "rating"
+    )
 
 
 @query
 def upsert_fact_external(spark, sf):
-    """Insert-only load of the years before the newest one at price 1, then an upsert of everything."""
+    """The earlier years at price 1 under old names, then an upsert of everything: prices and names are refreshed."""
     wh = W.Warehouse(spark, _work_dir(spark, sf, "facts"))
     daily = I.processed_snapshots(spark, sf)
-    W.load_fact_external(wh, daily.filter(EARLIER).withColumns({"price": F.lit(1.0), "rating": F.lit(1.0)}))
+    W.load_fact_external(wh, _older(daily))
     W.upsert_fact_external(wh, daily)
-    facts = wh.read("fact_external_product")
-    return facts.agg(
-        F.count("*").alias("rows"), F.countDistinct("external_fact_key").alias("keys"),
-        F.max("external_fact_key").alias("max_key"), F.sum("price").cast("decimal(28,4)").alias("price_sum"),
-        F.sum("rating").cast("decimal(28,2)").alias("rating_sum"),
-    )
+    return _loaded_facts(wh)
 
 
 @query
 def load_catalog_dim(spark, sf):
-    dim = I.star(spark, sf).read("dim_product")
-    return dim.filter(F.col("source_system") == S.CATALOG_SOURCE).drop("sku", "updated_at")
+    """Half of the catalog, then all of it: stored products stay, new ones come in, and no price fact does."""
+    wh = W.Warehouse(spark, _work_dir(spark, sf, "catalog"))
+    titles = I.catalog_titles(spark, sf)
+    held = titles.filter("category = 'PROMO'").withColumn("product_name", F.concat("product_name", F.lit(" as first stored")))
+    for rows in (held, titles):
+        W.load_catalog_dim(wh, rows)
+    return wh.read("dim_product", ["product_key", "source_system", "source_product_id", "product_name", "category", "brand"])
 
 
 @query
@@ -971,15 +1027,39 @@ def amazon_historical_adapter(spark, sf):
     return adapters.amazon_historical_adapter(I.catalog_metadata(spark, sf))
 
 
-@query
-def hybrid_csv_adapter(spark, sf):
-    part = I.table(spark, sf, "part").selectExpr(
-        "CASE WHEN p_size = 1 THEN 'N/A' ELSE concat(' ', p_partkey % 1000) END AS asin", "p_name AS title",
+def _csv_export(spark, sf):
+    """Parts as rows of a marketplace's CSV export; two parts share an id."""
+    return I.table(spark, sf, "part").selectExpr(
+        "CASE WHEN p_size = 1 THEN 'N/A' ELSE concat(' ', p_partkey div 2) END AS asin", "p_name AS title",
         "CASE WHEN p_size = 2 THEN 'None' WHEN p_size = 3 THEN '-4' ELSE cast(p_size AS string) END AS final_price",
         "cast(p_size / 5.0D AS string) AS rating", "cast(p_size * 7 AS string) AS reviews_count", "p_brand AS brand",
         "p_type AS categories", "concat('2023-0', 1 + p_size % 9, '-1', p_partkey % 10, ' 10:00:00.125') AS timestamp",
     )
-    df = adapters.hybrid_csv_adapter(part, "amazon_csv")
+
+
+@query
+def csv_import(spark, sf):
+    """Both CSV exports from file to one stored table: strict reader, mapping, strict union, write once."""
+    root = _work_dir(spark, sf, "csv-import")
+    first = _csv_export(spark, sf)
+    second = first.withColumnsRenamed({"asin": "product_id", "title": "product_name", "reviews_count": "review_count",
+                                       "categories": "category_name"})
+    frames = []
+    for name, rows in (("amazon_csv", first), ("walmart_csv", second)):
+        writers.write_quoted_csv(rows, f"{root}/{name}")
+        mapping = S.CSV_SOURCES[name]
+        read = readers.read_csv_strict(spark, f"{root}/{name}", [mapping["external_product_id"], mapping["product_name"]])
+        frames.append(adapters.hybrid_csv_adapter(read, name).select(*S.STANDARD_COLUMNS))
+    writers.write_once(Z.union_strict(frames), f"{root}/all")
+    return spark.read.parquet(f"{root}/all").select(
+        "platform", "external_product_id", "product_name", "category", "brand", "currency", "price", "rating",
+        "review_count", "observation_date",
+    )
+
+
+@query
+def hybrid_csv_adapter(spark, sf):
+    df = adapters.hybrid_csv_adapter(_csv_export(spark, sf), "amazon_csv")
     return df.select("platform", "external_product_id", "product_name", "category", "brand", "currency", "price", "rating",
                      "review_count", "seller_name", "collected_at", "raw_source", "observation_date")
 
@@ -1047,8 +1127,8 @@ def _page_stream(spark, sf, name):
         F.concat_ws("/", "source", "listing_id").alias("listing_id"), "page", "position",
         C.to_utc_naive(F.col("collected_at")).alias("collected_at"),
     )
-    items.write.parquet(f"{root}/in")
-    return root, spark.readStream.schema(items.schema).parquet(f"{root}/in")
+    items.repartition(BATCHES).write.parquet(f"{root}/in")
+    return root, spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
 
 
 @query
@@ -1062,29 +1142,32 @@ def stream_first_seen_dedup(spark, sf):
 def stream_idempotent_page_sink(spark, sf):
     root, stream = _page_stream(spark, sf, "sink")
     jobs.stream_idempotent_page_sink(stream, f"{root}/out", f"{root}/state")
-    return spark.read.parquet(f"{root}/out").agg(F.count("*").alias("rows"), F.countDistinct("listing_id").alias("ids"))
+    return spark.read.parquet(f"{root}/out").select("listing_id", "page", "position", "collected_at")
 
 
-def _event_stream(spark, sf):
-    schema = I.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def _event_stream(spark, sf, root):
+    """Events in several micro-batches, days in no order: every batch brings late rows of days seen before."""
+    events = I.table(spark, sf, "events")
+    events.repartition(BATCHES, "event_id").write.parquet(f"{root}/in")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
 
 
 @query
 def stream_keyword_progress(spark, sf):
-    """Next page per keyword, here per user of the event stream."""
+    """Crawl progress per keyword, here per user of the event stream."""
     root = _work_dir(spark, sf, "progress")
-    pages = _event_stream(spark, sf).selectExpr(
-        "concat('kw ', cast(user_id AS string)) AS keyword", "cast(get_json_object(props, '$.k') AS int) AS page",
-        "event_type = 'purchase' AS completed", "cast(ts AS timestamp) AS fetched_at", "event_id",
+    pages = _event_stream(spark, sf, root).selectExpr(
+        "concat('kw ', cast(user_id AS string)) AS keyword", "cast(get_json_object(props, '$.k') AS int) * 125 AS offset",
+        "CASE event_type WHEN 'error' THEN 0 WHEN 'view' THEN 37 ELSE 100 END AS results",
+        "CASE WHEN user_id % 3 = 0 THEN 5000 END AS total", "cast(ts AS timestamp) AS fetched_at", "event_id",
     )
-    return jobs.stream_keyword_progress(pages, f"{root}/out", f"{root}/state")
+    return jobs.stream_keyword_progress(pages, f"{root}/out", f"{root}/state", page_size=100)
 
 
 @query
 def stream_daily_metrics(spark, sf):
     root = _work_dir(spark, sf, "metrics")
-    metrics = _event_stream(spark, sf).selectExpr(
+    metrics = _event_stream(spark, sf, root).selectExpr(
         "cast(ts AS timestamp) AS recorded_at", "cast(get_json_object(props, '$.k') AS bigint) AS http_attempts",
         "CASE WHEN event_type = 'error' THEN 1L ELSE 0L END AS http_429",
     )
@@ -1093,14 +1176,15 @@ def stream_daily_metrics(spark, sf):
 
 @query
 def stream_fact_upsert(spark, sf):
-    """Micro-batches of snapshots through the warehouse load."""
-    root = _work_dir(spark, sf, "facts")
+    """Older snapshots, then all of them, as micro-batches through the upserting load."""
+    root = _work_dir(spark, sf, "facts-stream")
     daily = I.processed_snapshots(spark, sf)
-    daily.write.parquet(f"{root}/in")
-    stream = spark.readStream.schema(daily.schema).parquet(f"{root}/in")
+    for rows in (_older(daily), daily):
+        rows.repartition(2, "platform").write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
     wh = W.Warehouse(spark, f"{root}/wh")
-    jobs.stream_fact_load(stream, wh, f"{root}/state", "facts")
-    return A.fact_totals_by_platform(wh.frames())
+    jobs.stream_fact_load(stream, wh, f"{root}/state", "facts", policy="upsert")
+    return _loaded_facts(wh)
 
 
 # --- pages and keywords ------------------------------------------------------------------------------

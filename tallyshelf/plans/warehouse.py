@@ -330,6 +330,8 @@ def load_fact_external(
         load_platforms(load, valid)
         fresh = joins.new_products(valid, load.read("dim_product")).drop("collected_at")
         load_new_products(load, created_at(fresh) if created_at else fresh, at)
+        if policy == "upsert":
+            refresh_product_names(load, valid, at)
         resolved = joins.resolve_fact_keys(
             valid, load.read("dim_platform"), load.read("dim_product"), load.read("dim_date")
         )
@@ -350,6 +352,21 @@ def load_fact_external(
         return load.append("fact_external_product", new)
 
 
+def refresh_product_names(load: Load, products: DataFrame, at: Column | None = None) -> None:
+    """Newest name of every product in the batch; equal times go to the alphabetically last one."""
+    newest = F.max_by("product_name", F.struct("collected_at", "product_name")).alias("product_name")
+    names = products.groupBy(
+        F.col("platform").alias("source_system"), F.col("external_product_id").alias("source_product_id")
+    ).agg(newest)
+    stored = load.read("dim_product")
+    changed = load.scratch(stored.select(*S.PRODUCT_KEY, F.col("product_name").alias("_stored")).join(names, S.PRODUCT_KEY).filter(
+        ~F.col("product_name").eqNullSafe(F.col("_stored"))
+    ).drop("_stored"))
+    if not changed.isEmpty():
+        updated, _ = upsert(stored, changed, S.PRODUCT_KEY, ["product_name"], "updated_at", at)
+        load.replace("dim_product", updated)
+
+
 def upsert_fact_external(wh: Warehouse, products: DataFrame, **options) -> int:
     return load_fact_external(wh, products, policy="upsert", **options)
 

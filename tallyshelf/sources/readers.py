@@ -57,18 +57,21 @@ def read_heterogeneous_snapshots(spark: SparkSession, path: str, platform: str)
         files = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True)
         return standardize(files.parquet(path), platform)
     except Exception as error:
-        if getattr(error, "getCondition", lambda: None)() in _ABSENT or "merg" not in str(error).lower():
+        if getattr(error, "getCondition", lambda: None)() in _ABSENT:
             raise
-    return reduce(DataFrame.unionByName, [standardize(df, platform) for df in _schema_groups(spark, path)])
+        groups = _schema_groups(spark, path)
+        # With one schema the files can't be in conflict: the error is another one.
+        if len(groups) < 2:
+            raise
+    return reduce(DataFrame.unionByName, [standardize(df, platform) for df in groups])
 
 
 def read_latest_snapshot_sample(spark: SparkSession, path: str, limit: int = 100) -> DataFrame:
-    """First rows of the newest file of a folder."""
-    files = spark.read.option("recursiveFileLookup", True).parquet(path).select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("at")
-    )
-    newest = files.agg(F.max_by("file", F.struct("at", "file"))).first()[0]
-    return spark.read.parquet(newest).limit(limit)
+    """First rows of the newest file of a folder, in the order of their cells. Files are listed, not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    newest = files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
+    rows = spark.read.parquet(newest)
+    return rows.orderBy(*rows.columns).limit(limit)
 
 
 def read_gz_jsonl_typed(spark: SparkSession, path: str, schema: str) -> DataFrame:

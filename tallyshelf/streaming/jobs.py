@@ -7,7 +7,7 @@ the shared file system.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import dedupe
@@ -29,10 +29,9 @@ def incremental_snapshot_ingest(spark: SparkSession, source: str, out: str, chec
 def stream_first_seen_dedup(
     stream: DataFrame, key: str, out: str, checkpoint: str, event_time: str | None = None, horizon: str = "7 days"
 ) -> None:
-    """Items whose id no earlier page had.
+    """Items whose id no earlier page had; with ``event_time`` in bounded-state mode: an id older than ``horizon`` may come again.
 
-    With ``event_time`` ids are remembered for ``horizon`` only, which bounds
-    the state; without it every id ever seen stays in the state store.
+    Without it, the default, every id ever seen stays in the state store.
     """
     if event_time:
         first = stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
@@ -59,15 +58,27 @@ def _latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame
     return dedupe.pick_first(spark.read.parquet(out), keys, [F.col("batch_id").desc()], ties=False).drop("batch_id")
 
 
-def stream_keyword_progress(pages: DataFrame, out: str, checkpoint: str) -> DataFrame:
-    """Per keyword the next page to fetch and whether it is done.
+# Fixed value: the search serves no offset beyond it.
+LAST_OFFSET = 12_000
 
-    ``pages`` holds (keyword, page, completed, fetched_at, event_id).
+
+def stream_keyword_progress(
+    pages: DataFrame, out: str, checkpoint: str, page_size: int, last_offset: int = LAST_OFFSET
+) -> DataFrame:
+    """Per keyword the next offset to fetch and whether it is done.
+
+    ``pages`` holds (keyword, offset, results, total, fetched_at, event_id). The
+    next offset lies behind the newest page's results. A keyword is done with an
+    empty or short page, past ``last_offset``, or when its total is reached.
     """
+    next_offset = F.col("offset") + F.col("results")
+    done = (
+        (F.col("results") == 0) | (F.col("results") < page_size) | (next_offset > last_offset)
+        | F.coalesce(next_offset >= F.col("total"), F.lit(False))
+    )
     newest = F.struct("fetched_at", "event_id")
     state = pages.groupBy("keyword").agg(
-        (F.max_by("page", newest) + 1).alias("next_page"),
-        F.max_by("completed", newest).alias("completed"),
+        F.max_by(next_offset, newest).alias("next_offset"), F.max_by(done, newest).alias("completed"),
         F.max("fetched_at").alias("updated_at"),
     )
     _run(
@@ -77,19 +88,22 @@ def stream_keyword_progress(pages: DataFrame, out: str, checkpoint: str) -> Data
     return _latest_per_key(pages.sparkSession, out, ["keyword"])
 
 
-def stream_daily_metrics(metrics: DataFrame, out: str, checkpoint: str, lateness: str = "2 days") -> DataFrame:
-    """Attempts and refused requests per UTC day; rows up to ``lateness`` late still count."""
-    days = (
-        metrics.withWatermark("recorded_at", lateness)
-        .groupBy(F.window("recorded_at", "1 day"))
-        .agg(F.sum("http_attempts").alias("http_attempts"), F.sum("http_429").alias("http_429"))
-        .select(F.to_date("window.start").alias("day"), "http_attempts", "http_429")
-    )
-    _run(
-        days.writeStream.outputMode("update").foreachBatch(lambda batch, n: write_batch(batch, n, out))
-        .option("checkpointLocation", checkpoint)
-    )
-    return _latest_per_key(metrics.sparkSession, out, ["day"])
+def _per_day(rows: DataFrame, day: Column) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in ("http_attempts", "http_429")]
+    return rows.groupBy(day.alias("day")).agg(*sums)
+
+
+def stream_daily_metrics(metrics: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """Attempts and refused requests per UTC day, however late a row comes.
+
+    Each batch stores its own sums, one row per day, under its number, so a
+    replay does not count twice and no state is kept; a day is the sum over batches.
+    """
+    def store(batch: DataFrame, n: int) -> None:
+        write_batch(_per_day(batch, F.to_date("recorded_at")), n, out)
+
+    _run(metrics.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint))
+    return _per_day(metrics.sparkSession.read.parquet(out), F.col("day"))
 
 
 def stream_fact_load(
