@@ -3,13 +3,15 @@
 Layout below ``root``::
 
     data/<table>/<id>/            one write of a table
-    commits/version=<n>/          which folders make up each table, and the
-                                  highest surrogate key handed out
+    scratch/<load>/               steps of a running load, removed at its end
+    pointer.json                  which folders make up each table, the highest
+                                  surrogate key handed out, streams' last batch
 
-A load writes new folders and then one commit. Readers follow the newest
-commit, so they see all of a load or nothing of it. Fact tables are kept in
+A load writes new folders and then swaps the pointer. Readers follow it, so
+they see all of a load or nothing of it. Fact tables are kept in
 calendar-month segments: a load reads and, for an upsert, rewrites only the
-months its batch touches, never the whole history.
+months its batch touches, never the whole history. A month that many loads have
+added to is rewritten as one folder.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,31 +38,47 @@ _KEYS = {
     "fact_sales": "sales_key", "fact_external_product": "external_fact_key",
 }
 # Facts are many: more buckets, so that none gets large.
+# Folders of a month from which on the next load rewrites it.
+_MAX_FOLDERS = 16
 _KEY_HEX_DIGITS = {"fact_sales": 4, "fact_external_product": 4}
 
 
 class Warehouse:
-    """Tables of one warehouse root, as of the newest commit."""
+    """Tables of one warehouse root, as the pointer names them."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
+    def _pointer(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointer.json")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def head(self) -> dict:
-        """Newest commit: version, table -> segment -> folders, last key per table, label."""
+        """What the pointer names: version, table -> segment -> folders, last key per table, last batch per stream."""
+        path, fs = self._pointer()
+        if not fs.exists(path):
+            return {"version": 0, "tables": {}, "keys": {}, "batches": {}}
+        stream = fs.open(path)
         try:
-            commits = self.spark.read.schema("body string, version int").json(f"{self.root}/commits")
-            last = commits.orderBy(F.col("version").desc()).limit(1).collect()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            last = []
-        empty = {"tables": {}, "keys": {}, "label": None}
-        return {"version": last[0].version, **json.loads(last[0].body)} if last else {"version": 0, **empty}
-
-    def labels(self) -> DataFrame:
-        """Label of every commit."""
-        commits = self.spark.read.schema("body string, version int").json(f"{self.root}/commits")
-        return commits.select("version", F.get_json_object("body", "$.label").alias("label"))
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def swap(self, head: dict, base_version: int) -> None:
+        """Put a new pointer in place of the one a load started from. One load at a time: the check isn't a lock."""
+        if self.head()["version"] != base_version:
+            raise GateError("another load was published meanwhile; run this one again")
+        path, fs = self._pointer()
+        jvm = self.spark._jvm.org.apache.hadoop.fs
+        fresh = jvm.Path(f"{self.root}/pointer-{uuid.uuid4().hex}.json")
+        stream = fs.create(fresh, True)
+        stream.write(bytearray(json.dumps(head).encode()))
+        stream.close()
+        over = self.spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
+        over[0] = jvm.Options.Rename.OVERWRITE
+        jvm.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(
+            fs.makeQualified(fresh), fs.makeQualified(path), over
+        )
 
     def read(self, table: str, columns: list[str] | None = None, months: list[int] | None = None) -> DataFrame:
         """Stored table; only the wanted columns and month segments are read."""
@@ -81,35 +98,41 @@ class Warehouse:
             df = self.spark.createDataFrame([], schema)
         return df.select(*columns) if columns else df
 
-    def scratch(self, df: DataFrame) -> DataFrame:
-        """Write an intermediate result and go on from the written table."""
-        path = f"{self.root}/scratch/{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     @contextmanager
-    def publish(self, label: str | None = None):
-        """A load: everything it adds becomes visible together, or not at all."""
-        load = Load(self, label)
-        yield load
-        load.commit()
+    def publish(self, batch: tuple[str, int] | None = None):
+        """A load: everything it adds becomes visible together, or not at all. ``batch``: a stream's name and batch number."""
+        load = Load(self, batch)
+        try:
+            yield load
+            load.commit()
+        finally:
+            load.drop_scratch()
 
 
 class Load:
     """Staged changes of one load. Reads see what the load itself has staged."""
 
-    def __init__(self, warehouse: Warehouse, label: str | None):
-        self.wh, self.spark, self.label = warehouse, warehouse.spark, label
+    def __init__(self, warehouse: Warehouse, batch: tuple[str, int] | None):
+        self.wh, self.spark = warehouse, warehouse.spark
         head = warehouse.head()
         self.base_version, self.keys = head["version"], dict(head["keys"])
         self.tables = {name: dict(segments) for name, segments in head["tables"].items()}
-        self.changed = False
+        self.batches = {**head["batches"], **(dict([batch]) if batch else {})}
+        self.changed = batch is not None
+        self._scratch = f"{warehouse.root}/scratch/{uuid.uuid4().hex}"
 
     def read(self, table: str, columns: list[str] | None = None, months: list[int] | None = None) -> DataFrame:
         return self.wh._frame(self.tables.get(table, {}), table, columns, months)
 
     def scratch(self, df: DataFrame) -> DataFrame:
-        return self.wh.scratch(df)
+        """Write an intermediate result and go on from the written table, until the load ends."""
+        path = f"{self._scratch}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_scratch(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._scratch)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def number(self, table: str, rows: DataFrame, natural_key: list[str]) -> DataFrame:
         """Rows with the table's next surrogate keys and in its column order."""
@@ -121,8 +144,12 @@ class Load:
         return numbered
 
     def append(self, table: str, rows: DataFrame) -> int:
-        """Add rows; returns how many."""
-        return self._put(table, rows)
+        """Add rows; returns how many. Months with too many folders become one again."""
+        n = self._put(table, rows)
+        crowded = [int(m) for m, f in self.tables.get(table, {}).items() if m != "all" and len(f) > _MAX_FOLDERS]
+        if crowded:
+            self.replace(table, self.read(table, months=crowded), crowded)
+        return n
 
     def replace(self, table: str, rows: DataFrame, months: list[int] | None = None) -> int:
         """Rewrite a table, or of a segmented table the given months.
@@ -138,10 +165,9 @@ class Load:
         path = f"{self.wh.root}/{folder}"
         if table in _SEGMENTED:
             day = _SEGMENTED[table]
-            # Range clustering gives month files of even size, also for a month
-            # or day with far more rows than others.
-            out = out.withColumn(_SEGMENT, F.floor(F.col(day) / 100).cast("int"))
-            out = out.repartitionByRange(day, "product_key").sortWithinPartitions(day, "product_key")
+            # Rebalancing brings a month's rows together, splits a large month
+            # and joins small ones by size, without a sampling run before.
+            out = out.withColumn(_SEGMENT, F.floor(F.col(day) / 100).cast("int")).hint("rebalance", F.col(_SEGMENT))
             out.write.partitionBy(_SEGMENT).parquet(path)
             stored = self.spark.read.schema(f"{_SEGMENT} int, {_KEYS[table]} bigint").parquet(path)
             parts = stored.groupBy(_SEGMENT).agg(
@@ -166,12 +192,9 @@ class Load:
         return n
 
     def commit(self) -> None:
-        if not self.changed:
-            return
-        body = json.dumps({"tables": self.tables, "keys": self.keys, "label": self.label})
-        row = self.spark.createDataFrame([(body,)], "body string")
-        # The folder must not exist: of two concurrent loads the second fails here.
-        row.coalesce(1).write.mode("errorifexists").json(f"{self.wh.root}/commits/version={self.base_version + 1}")
+        if self.changed:
+            head = {"version": self.base_version + 1, "tables": self.tables, "keys": self.keys, "batches": self.batches}
+            self.wh.swap(head, self.base_version)
 
 
 def _cell(df: DataFrame, field) -> Column:
@@ -312,7 +335,7 @@ def _stamped(df: DataFrame, column: str, at: Column | None) -> DataFrame:
 
 
 def load_fact_external(
-    wh: Warehouse, products: DataFrame, label: str | None = None, at: Column | None = None,
+    wh: Warehouse, products: DataFrame, batch: tuple[str, int] | None = None, at: Column | None = None,
     created_at: Callable[[DataFrame], DataFrame] | None = None, policy: str = "insert",
 ) -> int:
     """Load processed snapshots: dates, platforms, products, then facts.
@@ -325,7 +348,7 @@ def load_fact_external(
     Returns the number of new facts. Running a load again adds nothing.
     """
     valid = filter_loadable(products.withColumn("observation_date", F.to_date("observation_date")))
-    with wh.publish(label) as load:
+    with wh.publish(batch) as load:
         load_dates(load, valid.select(F.col("observation_date").alias("full_date")))
         load_platforms(load, valid)
         fresh = joins.new_products(valid, load.read("dim_product")).drop("collected_at")
@@ -432,10 +455,10 @@ def upsert_fact_sales(load: Load, orders: DataFrame, order_items: DataFrame, at:
 
 def load_internal(
     wh: Warehouse, products: DataFrame, customers: DataFrame, orders: DataFrame, order_items: DataFrame,
-    label: str | None = None, at: Column | None = None,
+    batch: tuple[str, int] | None = None, at: Column | None = None,
 ) -> int:
     """Dates, products, customers and sales of the own shop, published together."""
-    with wh.publish(label) as load:
+    with wh.publish(batch) as load:
         load_dates(load, joins.distinct_order_dates(orders))
         load_platforms(load)
         upsert_dim_product(load, internal_product_rows(products), at)
@@ -453,8 +476,8 @@ def catalog_dim_rows(catalog: DataFrame) -> DataFrame:
     )
 
 
-def load_catalog_dim(wh: Warehouse, catalog: DataFrame, label: str | None = None, at: Column | None = None) -> int:
+def load_catalog_dim(wh: Warehouse, catalog: DataFrame, batch: tuple[str, int] | None = None, at: Column | None = None) -> int:
     """Catalog products into the product dimension only; never a price fact."""
-    with wh.publish(label) as load:
+    with wh.publish(batch) as load:
         load_platforms(load)
         return load_new_products(load, catalog_dim_rows(catalog), at)

@@ -111,15 +111,15 @@ def stream_fact_load(
 ) -> None:
     """Processed snapshots into the warehouse, one load per micro-batch.
 
-    Each load is published under the batch number; a replay of a batch that was
-    published is skipped. A late snapshot is stored under its own day.
+    Each load is published with the batch number; a replay of a batch up to
+    the last published one is skipped. A late snapshot is stored under its own day.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        label = f"{name}:{batch_id}"
-        if warehouse.head()["version"] and not warehouse.labels().filter(F.col("label") == label).isEmpty():
+        if batch_id <= warehouse.head()["batches"].get(name, -1):
             return
-        rows = warehouse.scratch(dedupe.dedupe_daily_snapshot(batch))
-        W.load_fact_external(warehouse, rows, label=label, policy=policy)
+        rows = dedupe.dedupe_daily_snapshot(batch).persist()  # a load reads its input once per table
+        W.load_fact_external(warehouse, rows, batch=(name, batch_id), policy=policy)
+        rows.unpersist()
 
     _run(stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint))

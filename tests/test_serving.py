@@ -1,6 +1,6 @@
 """Ranking, search, files and streams."""
 
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -161,4 +161,29 @@ def test_stream_load_equals_batch_load(spark, tmp_path):
         jobs.stream_fact_load(stream, wh, str(tmp_path / state), "facts")
     assert wh.read("fact_external_product").count() == 2
     assert wh.head()["version"] == 1
-    assert [r.label for r in wh.labels().filter(F.col("label").isNotNull()).collect()] == ["facts:0"]
+    assert wh.head()["batches"] == {"facts": 0}
+    assert not list((tmp_path / "wh" / "scratch").glob("*"))
+
+
+def test_late_rows_of_a_day_count_and_replays_do_not(spark, tmp_path):
+    day = lambda d, n: (datetime(2026, 10, d, 5), n, 1)
+    src, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "recorded_at timestamp, http_attempts bigint, http_429 bigint"
+    for rows in ([day(1, 5), day(20, 1)], [day(1, 7)]):  # nineteen days late
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).parquet(src)
+        found = jobs.stream_daily_metrics(stream, out, state)
+    assert sorted((r.day.day, r.http_attempts, r.http_429) for r in found.collect()) == [(1, 12, 2), (20, 1, 1)]
+
+
+@pytest.mark.parametrize("offset, results, total, done", [
+    (0, 0, None, True), (0, 99, None, True), (0, 100, None, False), (11_900, 100, None, False), (11_901, 100, None, True),
+    (100, 100, 200, True), (100, 100, 201, False),
+])
+def test_completion_of_a_keyword(spark, tmp_path, offset, results, total, done):
+    schema = "keyword string, offset int, results int, total int, fetched_at timestamp, event_id bigint"
+    rows = [("k", offset, results, total, datetime(2026, 1, 2), 2), ("k", 0, 0, None, datetime(2026, 1, 1), 9)]
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    row = jobs.stream_keyword_progress(stream, str(tmp_path / "out"), str(tmp_path / "state"), page_size=100).first()
+    assert (row.next_offset, row.completed) == (offset + results, done)

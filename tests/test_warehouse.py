@@ -60,8 +60,28 @@ def test_failed_load_publishes_nothing(spark, wh):
     assert wh.head()["version"] == 0 and wh.read("dim_platform").isEmpty()
 
 
+def test_crowded_months_become_one_folder(spark, wh, monkeypatch):
+    monkeypatch.setattr(W, "_MAX_FOLDERS", 2)
+    for n in range(4):
+        W.load_fact_external(wh, products(spark, snap("ebay", str(n), 10)))
+    (folders,) = wh.head()["tables"]["fact_external_product"].values()
+    assert len(folders) <= 2 and wh.read("fact_external_product").count() == 4
+    assert sorted(r[0] for r in wh.read("fact_external_product", ["external_fact_key"]).collect()) == [1, 2, 3, 4]
+
+
+def test_upsert_refreshes_names(spark, wh):
+    first = products(spark, snap("ebay", "1", 10), snap("etsy", "2", 10))
+    W.load_fact_external(wh, first)
+    W.load_fact_external(wh, first.withColumn("product_name", F.lit("new")))
+    assert "new" not in {r.product_name for r in wh.read("dim_product").collect()}
+    W.upsert_fact_external(wh, first.filter("platform = 'etsy'").withColumn("product_name", F.lit("new")))
+    names = {r.source_product_id: (r.product_name, r.updated_at is not None, r.product_key) for r in wh.read("dim_product").collect()}
+    assert names["2"][:2] == ("new", True) and names["1"][:2] != ("new", True)
+    assert sorted(k for _, _, k in names.values()) == [1, 2]
+
+
 def test_second_of_two_concurrent_loads_fails(spark, wh):
-    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS|already exists"):
+    with pytest.raises(Exception, match="another load"):
         with wh.publish() as outer:
             W.load_platforms(outer)
             with wh.publish() as inner:
