@@ -90,9 +90,8 @@ def op9_secret_scan(spark, sf):
 
 @query
 def op10_line_dedup(spark, sf):
-    """Repeated lines of all documents, but for the earliest of each."""
-    found = line_dedup.repeated_units(table(spark, sf, "documents"), "line", 20)
-    return found.select("doc_id", "start", "end", "kept_doc_id")
+    """Repeated passages of all documents, but for the earliest of each."""
+    return line_dedup.repeated_passages(table(spark, sf, "documents"), "sentence", 4, 25)
 
 
 @query
@@ -175,19 +174,27 @@ SELECT p.page_id, any_value(url) AS url, any_value(fetched_at) AS fetched_at,
 FROM p LEFT JOIN m USING (page_id) GROUP BY p.page_id
 """
 
+# Words with the white space behind them, cut where one ends a sentence or a line break follows.
 ORACLE["op10_line_dedup"] = """
-WITH s AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS n
-  FROM documents
+WITH w AS (
+  SELECT doc_id, piece, n, rtrim(piece, chr(32) || chr(9) || chr(10) || chr(13)) AS word FROM (
+    SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS n FROM (
+      SELECT doc_id, regexp_extract_all(text, '^\\s+|\\S+\\s*') AS pieces FROM documents))
 ), o AS (
-  SELECT *, CAST(coalesce(sum(length(line) + 1) OVER (
-    PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-  FROM s
-), u AS (
-  SELECT *, trim(regexp_replace(lower(line), '\\s+', ' ', 'g')) AS unit FROM o
+  SELECT *, coalesce(sum(length(piece)) OVER earlier, 0) AS place,
+    coalesce(sum(CAST(regexp_matches(word, '[.!?]$') OR contains(piece, chr(10)) AS INT)) OVER earlier, 0) AS sentence
+  FROM w WINDOW earlier AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), s AS (
+  SELECT doc_id, sentence, min(place) AS start, max(place + length(word)) AS "end", min(n) AS first_word, max(n) + 1 AS last_word,
+    string_agg(lower(word), ' ' ORDER BY n) AS unit
+  FROM o WHERE word <> '' GROUP BY doc_id, sentence HAVING count(*) >= 4
 ), l AS (
-  SELECT *, first_value(doc_id) OVER w AS kept_doc_id, row_number() OVER w AS turn FROM u
-  WHERE len(string_split(unit, ' ')) >= 20 WINDOW w AS (PARTITION BY unit ORDER BY doc_id, n)
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sentence) AS k, first_value(doc_id) OVER u AS kept,
+    row_number() OVER u AS turn FROM s WINDOW u AS (PARTITION BY unit ORDER BY doc_id, sentence)
+), r AS (
+  SELECT *, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS run FROM l WHERE turn > 1
 )
-SELECT doc_id, start, start + length(line) AS "end", kept_doc_id FROM l WHERE turn > 1
+SELECT doc_id, CAST(min(start) AS INT) AS start, CAST(max("end") AS INT) AS "end",
+  CAST(max(last_word) - min(first_word) AS INT) AS words, min(kept) AS kept_doc_id
+FROM r GROUP BY doc_id, run HAVING max(last_word) - min(first_word) >= 25
 """

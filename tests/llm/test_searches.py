@@ -93,47 +93,82 @@ def test_no_leaks_without_rows(spark):
     assert decontaminate.leaks(docs(spark, awkward()), bench).count() == 0
 
 
-# --- line dedup ----------------------------------------------------------------------------
+# --- passage dedup -------------------------------------------------------------------------
+
+
+def plain_units(text, unit):
+    """(start, end, words) of units, character by character."""
+    bounds, at, n = [], 0, len(text)
+    for i, c in enumerate(text):
+        if c == "\n" or (unit == "sentence" and c.isspace() and i and text[i - 1] in ".!?"):
+            bounds.append((at, i))
+            at = i + 1
+    return [(a, b, text[a:b].lower().split()) for a, b in [*bounds, (at, n)]]
+
+
+def plain_passages(rows, unit, min_words, min_run):
+    held, per_row = defaultdict(list), {}
+    for n, (i, t) in enumerate(dict.fromkeys(rows)):
+        kept, count = [], 0
+        for a, b, words in plain_units(t or "", unit):
+            if len(words) >= min_words:
+                lead = len(t[a:b]) - len(t[a:b].lstrip())
+                kept.append((a + lead, a + lead + len(t[a:b].strip()), count, count + len(words), " ".join(words)))
+            count += len(words)
+        per_row[n] = (i, kept)
+        for k, u in enumerate(kept):
+            held[u[4]].append((i is None, i or 0, n, k))
+    want = Counter()
+    for n, (i, kept) in per_row.items():
+        run = []
+        for k, u in enumerate([*kept, None]):
+            keeper = min(held[u[4]])[:2] if u else None
+            first = u and all(v[4] != u[4] for v in kept[:k])
+            repeat = u and len(held[u[4]]) > 1 and not (first and (i is None, i or 0) == keeper)
+            if repeat:
+                run.append((u, None if keeper[0] else keeper[1]))
+            elif run:
+                words = run[-1][0][3] - run[0][0][2]
+                if words >= min_run:
+                    keepers = [x for _, x in run if x is not None]
+                    want[i, run[0][0][0], run[-1][0][1], words, min(keepers, default=None)] += 1
+                run = []
+    return want
 
 
-def test_repeated_units_equal_brute_force(spark):
+@pytest.mark.parametrize("unit, min_words, min_run", [("line", 3, 3), ("sentence", 2, 6), ("sentence", 1, 1), ("sentence", 4, 25)])
+def test_passages_equal_brute_force(spark, unit, min_words, min_run):
     rng = random.Random(2)
-    lines = [" ".join(rng.choice(["aa", "bb", "cc", "Dd"]) for _ in range(rng.randint(1, 6))) for _ in range(30)]
-    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randint(0, 8)))) for i in range(60)]
+    word = lambda: rng.choice(["aa", "bb", "cc", "Dd", "ee"])
+    pool = [" ".join(word() for _ in range(rng.randint(1, 9))) + rng.choice([".", "!", "?", ".", ""]) for _ in range(40)]
+    rows = [(i, "".join(rng.choice(pool) + rng.choice([" ", "  ", "\n", "\t"]) for _ in range(rng.randint(0, 12)))) for i in range(80)]
     rows += [(i + 100 if i is not None else None, t) for i, t in awkward() if not t or len(t) < 1000]
-    rows += [(61, "AA  bb cc\n\naa bb\tcc"), (None, "aa bb cc"), (None, "aa bb cc\naa bb cc")]
-    df = docs(spark, rows)
-    got = Counter((r.doc_id, r.start, r.end, r.kept_doc_id) for r in line_dedup.repeated_units(df, "line", 3).collect())
-    held = defaultdict(list)
-    for n, (i, t) in enumerate(rows):
-        at = 0
-        for line in (t or "").split("\n"):
-            unit = " ".join(line.lower().split())
-            if len(unit.split()) >= 3:
-                held[unit].append((i is None, i, n, at, at + len(line)))
-            at += len(line) + 1
-    want = Counter()
-    for places in held.values():
-        places.sort(key=lambda p: (p[0], p[1] or 0, p[2], p[3]))
-        first = {}
-        for none, i, n, a, b in places:
-            keeper = places[0][1]
-            # Rows that share the smallest id each keep their first unit.
-            if (i == keeper) and first.setdefault(n, a) == a:
-                continue
-            want[i, a, b, keeper] += 1
-    assert got == want
+    rows += [(61, "AA  bb cc\n\naa bb\tcc"), (None, "aa bb cc. aa bb cc."), (None, "aa bb cc."), rows[5], rows[6], (70, rows[6][1])]
+    got = Counter(map(tuple, line_dedup.repeated_passages(docs(spark, rows), unit, min_words, min_run).collect()))
+    assert got == plain_passages(rows, unit, min_words, min_run)
+
+
+def test_passages_inside_lines_are_found_and_formulas_stay(spark):
+    rng = random.Random(3)
+    text = lambda n: " ".join(f"w{rng.randint(0, 9999)}" for _ in range(n)) + "."
+    passage = " ".join(text(14) for _ in range(4))
+    rows = [(i, f"{text(30)} All rights reserved by us. {text(20)} unfinished{i}{'.' if i % 2 else ''} {passage} {text(9)}") for i in range(200)]
+    found = line_dedup.repeated_passages(docs(spark, rows)).collect()
+    assert sorted(r.doc_id for r in found) == list(range(1, 200))
+    for r in found:
+        cut = rows[r.doc_id][1][r.start:r.end]
+        assert cut in passage and len(cut.split()) >= 42 and r.kept_doc_id in (0, 1)
 
 
 def test_paragraphs_and_cut_texts(spark):
     rows = [(1, "one two three\nfour\n\nfive six seven"), (2, "x\n\nONE two  three\nfour\n \nend of it"), (3, None), (4, "one two three")]
     df = docs(spark, rows)
-    removed = line_dedup.repeated_units(df, "paragraph", 3)
+    removed = line_dedup.repeated_passages(df, "paragraph", 3, 3)
     assert [(r.doc_id, r.start, r.end, r.kept_doc_id) for r in removed.collect()] == [(2, 3, 22, 1)]
-    lines = line_dedup.repeated_units(df, "line", 3)
-    cut = {r.doc_id: (r.text, r.cuts and [(c.start, c.end) for c in r.cuts]) for r in line_dedup.without_units(df, lines).collect()}
+    lines = line_dedup.repeated_passages(df, "line", 3, 3)
+    cut = {r.doc_id: (r.text, r.cuts and [(c.start, c.end) for c in r.cuts]) for r in line_dedup.without_passages(df, lines).collect()}
     assert cut == {1: (rows[0][1], None), 2: ("x\n\nfour\n \nend of it", [(3, 17)]), 3: (None, None), 4: ("", [(0, 13)])}
-    assert line_dedup.repeated_units(docs(spark, [])).count() == 0
+    assert line_dedup.repeated_passages(docs(spark, [])).count() == 0
 
 
 # --- URL lists -----------------------------------------------------------------------------
