@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..functions.page_tree import PageTree, card_products, table_products
+from ..functions.page_tree import page_products
 
 _COUNTERS = [
     "table_rows", "table_no_single_id", "table_price_not_single", "table_insufficient_cells",
-    "table_invalid_name_or_price", "card_links", "card_no_valid_container", "card_no_name",
+    "table_invalid_name_or_price", "card_links", "card_no_valid_container", "card_no_name", "found",
 ]
 _EXTRACTED = (
     "page_id bigint, url string, mode string, "
@@ -28,12 +28,7 @@ def _extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out = []
         for page_id, url, html in zip(batch["page_id"], batch["url"], batch["html"]):
-            tree = PageTree(html or "")
-            found, counters = table_products(tree)
-            mode = "table"
-            if not found:
-                found, more = card_products(tree)
-                mode, counters = "structured_card", counters | more
+            mode, counters, found = page_products(html or "")
             products = [dict(zip(fields, item)) for item in found]
             out.append((page_id, url, mode, *[counters.get(c, 0) for c in _COUNTERS], products))
         yield pd.DataFrame(out, columns=["page_id", "url", "mode", *_COUNTERS, "products"])
@@ -49,15 +44,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
 
 def _products(extracted: DataFrame, mode: str) -> DataFrame:
-    """One row per page, id and price, from its first occurrence on the page."""
-    items = extracted.filter(F.col("mode") == mode).select(
-        "page_id", "url", F.posexplode("products").alias("position", "p")
-    )
-    first = items.groupBy("page_id", "url", "p.external_product_id", "p.price").agg(
-        F.min_by("p", "position").alias("p")
-    )
-    return first.select(
-        "page_id", "external_product_id", "p.product_name", "price", F.lit("THB").alias("currency"),
+    """One row per page, id and price, from its first occurrence on the page; repeats went while the page was read."""
+    items = extracted.filter(F.col("mode") == mode).select("page_id", "url", F.explode("products").alias("p"))
+    return items.select(
+        "page_id", "p.external_product_id", "p.product_name", "p.price", F.lit("THB").alias("currency"),
         X.absolute_url(F.col("url"), F.trim("p.href")).alias("product_url"), F.col("url").alias("source_page"),
         "p.description_raw",
     )
@@ -76,10 +66,11 @@ def extract_price_cards(pages: DataFrame) -> DataFrame:
 
 def extraction_diagnostics(pages: DataFrame) -> DataFrame:
     """Pages, products and reject reasons per extraction mode."""
+    reasons = [c for c in _COUNTERS if c != "found"]
     return extract_pages(pages).groupBy("mode").agg(
         F.count("*").alias("pages"),
-        F.sum(F.size("products")).alias("products"),
-        *[F.sum(c).alias(c) for c in _COUNTERS],
+        F.sum("found").alias("products"),
+        *[F.sum(c).alias(c) for c in reasons],
     )
 
 

@@ -1,6 +1,7 @@
 """Literal pages and keyword states."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,6 +48,20 @@ def test_hidden_text_and_unclosed_tags(spark):
     assert row.products == [] and row.table_rows == 3
 
 
+def test_large_pages_take_time_in_proportion(spark):
+    card = '<div class="card"><a href="/productdetail/A%d">p</a><span>sold out now, come back later please</span>%s</div>'
+    filler = "<p>" + "words " * 60 + "</p>"
+    html = "<main>" + "".join(card % (i, filler) for i in range(5000)) + card % (7, "<b>฿ 9</b>") * 2 + "</main>"
+    assert len(html) > 2_000_000
+    unclosed = "<table>" + "".join(f'<tr><td><a href="/productdetail/A{i}">p</a><td>฿ 5' for i in range(5000))
+    began = time.time()
+    first, second = P.extract_pages(pages(spark, html, unclosed)).orderBy("page_id").collect()
+    assert time.time() - began < 60
+    assert (first.card_links, first.card_no_valid_container, first.found, len(first.products)) == (5002, 5000, 2, 1)
+    # Only the innermost row holds one product, in one open cell.
+    assert (second.table_rows, second.table_no_single_id, second.table_insufficient_cells) == (5000, 4999, 1)
+
+
 def test_conflicting_prices_on_one_page(spark):
     two = TABLE + TABLE.replace("12,345", "99")
     found = A.conflicting_prices(P.extract_price_table(pages(spark, two, TABLE + TABLE)), ["page_id", "external_product_id"])
