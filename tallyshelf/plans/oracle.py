@@ -770,6 +770,22 @@ BODIES: dict[str, str] = {
     "visible_text": f"""SELECT page_id, trim(regexp_replace({_decoded(
         f"regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')) AS text
       FROM pages""",
+    # What the printed rows are: two prices, one cell, no link, or whole; cards without a price; links of no product.
+    "extraction_diagnostics": """SELECT CASE WHEN kind = 0 AND whole > 0 THEN 'table' ELSE 'structured_card' END AS mode,
+        count(*) AS pages, CAST(sum(CASE WHEN kind = 0 THEN whole WHEN kind = 1 THEN n - two ELSE 0 END) AS BIGINT) AS products,
+        CAST(sum(CASE WHEN kind = 0 THEN n WHEN kind = 3 THEN rows ELSE 0 END) AS BIGINT) AS table_rows,
+        CAST(sum(CASE WHEN kind = 0 THEN bare WHEN kind = 3 THEN rows ELSE 0 END) AS BIGINT) AS table_no_single_id,
+        CAST(sum(CASE WHEN kind = 0 THEN two ELSE 0 END) AS BIGINT) AS table_price_not_single,
+        CAST(sum(CASE WHEN kind = 0 THEN one ELSE 0 END) AS BIGINT) AS table_insufficient_cells,
+        CAST(0 AS BIGINT) AS table_invalid_name_or_price,
+        CAST(sum(CASE WHEN kind = 1 THEN n ELSE 0 END) AS BIGINT) AS card_links,
+        CAST(sum(CASE WHEN kind = 1 THEN two ELSE 0 END) AS BIGINT) AS card_no_valid_container,
+        CAST(0 AS BIGINT) AS card_no_name
+      FROM (SELECT page_id % 3 AS kind, 0 AS rows, count(*) AS n, count(*) FILTER (p_size % 7 = 0) AS two,
+          count(*) FILTER (p_size % 7 = 1) AS one, count(*) FILTER (p_size % 7 = 2) AS bare,
+          count(*) FILTER (p_size % 7 > 2) AS whole FROM snippets JOIN part USING (p_partkey) GROUP BY page_id
+        UNION ALL SELECT 3, len(regexp_extract_all(html, '(?i)<tr[\s>/]')), 0, 0, 0, 0, 0 FROM pages)
+      GROUP BY 1""",
     "price_context_window": rf"""SELECT page_id, CAST(i - 1 AS INT) AS position,
         array_to_string(seg[greatest(1, i - 3):i + 3], ' ') AS context FROM (
       SELECT page_id, seg, unnest(range(1, len(seg) + 1)) AS i FROM (
