@@ -771,7 +771,7 @@ BODIES: dict[str, str] = {
         f"regexp_replace(regexp_replace(html, '{_HIDDEN}', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g')) AS text
       FROM pages""",
     # What the printed rows are: two prices, one cell, no link, or whole; cards without a price; links of no product.
-    "extraction_diagnostics": """SELECT CASE WHEN kind = 0 AND whole > 0 THEN 'table' ELSE 'structured_card' END AS mode,
+    "extraction_diagnostics": r"""SELECT CASE WHEN kind = 0 AND whole > 0 THEN 'table' ELSE 'structured_card' END AS mode,
         count(*) AS pages, CAST(sum(CASE WHEN kind = 0 THEN whole WHEN kind = 1 THEN n - two ELSE 0 END) AS BIGINT) AS products,
         CAST(sum(CASE WHEN kind = 0 THEN n WHEN kind = 3 THEN rows ELSE 0 END) AS BIGINT) AS table_rows,
         CAST(sum(CASE WHEN kind = 0 THEN bare WHEN kind = 3 THEN rows ELSE 0 END) AS BIGINT) AS table_no_single_id,
