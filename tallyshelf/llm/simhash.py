@@ -146,7 +146,9 @@ def links(fps: DataFrame, max_bits: int = 2) -> DataFrame:
     """
     if not 0 <= max_bits <= 2:
         raise ValueError("links take at most 2 differing bits: larger buckets are split by naming all differing bits")
-    keyed = _variants(fps, max_bits)
+    # A row becomes dozens: few tasks that read many fingerprints would each make very many keys.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = _variants(fps.repartition(tasks, "fp"), max_bits)
     buckets = stored(
         keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
         .filter("n > 1"), "buckets",
