@@ -10,26 +10,52 @@ from .common import numbered, stored
 MAX_ROUNDS = 40
 
 
+# How groups pick their shard, one after the other as a round brings nothing: shards with unlinked documents by votes,
+# all shards by votes, any shard of the group in a new turn each.
+_WAYS = ["open", "all", "any", "any", "any", "any"]
+
+
 def _quotas(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
-    """Moves allowed for each (from, to): no shard gains more than ``room``, the unlinked documents it can give away."""
-    allowed = dict(wanted)
-    while True:
-        net = [0] * len(room)
-        for (a, b), n in allowed.items():
-            net[a] -= n
-            net[b] += n
-        over = [s for s in range(len(room)) if net[s] > room[s]]
-        if not over:
-            return allowed
-        for s in over:
-            # Take what is too much from its arrivals, in turn in proportion.
-            arrivals = sorted((k for k in allowed if k[1] == s and allowed[k]), key=lambda k: allowed[k])
-            excess, total = net[s] - room[s], sum(allowed[k] for k in arrivals)
-            for k in arrivals:
-                cut = min(allowed[k], -(-excess * allowed[k] // total)) if total else 0
-                total -= allowed[k]
-                allowed[k] -= cut
-                excess -= cut
+    """Most moves for each (from, to) of which no shard gains more than ``room``, the unlinked documents it can give away.
+
+    All moves are made, then as few as possible taken back: surplus goes over the
+    cheapest paths to shards that lack some. A step takes one move back (cost 1),
+    makes one again (-1) or hands over unlinked documents (0, by way of a hub).
+    """
+    hub, allowed, handed = len(room), dict(wanted), [0] * len(room)
+    net = [0] * (hub + 1)
+    for (a, b), n in wanted.items():
+        net[a] -= n
+        net[b] += n
+    while any(n > 0 for n in net):
+        cost: list = [0 if n > 0 else None for n in net]
+        came: dict[int, tuple] = {}
+        changed = True
+        while changed:
+            changed = False
+            steps = [(b, a, 1, n, (a, b)) for (a, b), n in allowed.items()]
+            steps += [(a, b, -1, wanted[a, b] - n, (a, b)) for (a, b), n in allowed.items()]
+            steps += [(s, hub, 0, room[s] - handed[s], None) for s in range(hub)]
+            steps += [(hub, s, 0, 1 << 62, None) for s in range(hub)]
+            for u, v, c, most, move in steps:
+                if most > 0 and cost[u] is not None and (cost[v] is None or cost[u] + c < cost[v]):
+                    cost[v], came[v], changed = cost[u] + c, (u, c, most, move), True
+        end = min((s for s in range(hub) if net[s] < 0 and cost[s] is not None), key=lambda s: cost[s])
+        path, at = [], end
+        while at in came:
+            path.append((at, *came[at]))
+            at = came[at][0]
+        some = min(net[at], -net[end], *(most for _, _, _, most, _ in path))
+        for v, u, c, _, move in path:
+            if move:
+                allowed[move] -= c * some
+            elif v == hub:
+                handed[u] += some
+            else:
+                handed[v] -= some
+        net[at] -= some
+        net[end] += some
+    return allowed
 
 
 def _refill(net: list[int]) -> list[tuple[int, int, int, int]]:
@@ -56,7 +82,10 @@ def balanced_shards(docs: DataFrame, shards: int = 16, max_rounds: int = MAX_ROU
     shard with room that holds most of them, and those elsewhere ask to move
     there. Shards take as many as they can give away unlinked documents for, or
     as leave them; unlinked documents then go where room was left, so sizes
-    never change. Rounds go on while fewer linked pairs are apart. Votes are
+    never change. A round that brings fewer linked pairs together than before
+    is dropped; then full shards are asked too, so linked documents change
+    places, and then other shards of a group than that of most votes, until
+    ``_WAYS`` is through or ``max_rounds`` are over. Votes are
     aggregated map-side and joined back by group; what the driver gets is a
     count for each pair of shards. A group larger than a shard fills one shard
     after another.
@@ -92,21 +121,32 @@ def balanced_shards(docs: DataFrame, shards: int = 16, max_rounds: int = MAX_ROU
         return votes, [free.get(s, 0) for s in range(shards)], int(row[0] or 0)
 
     votes, free, apart = survey(state)
-    for _ in range(max_rounds):
-        if not apart:
+    way = 0
+    for turn in range(max_rounds):
+        if not apart or way == len(_WAYS):
             break
-        # A full shard of linked documents takes no more; ties go to a shard that differs by group.
-        open_shards = F.array(*[F.lit(s) for s in range(shards) if free[s]] or [F.lit(-1)])
-        rank = F.struct("votes", F.xxhash64("digest", "shard").alias("h"), F.col("shard").alias("s"))
-        best = votes.filter(F.array_contains(open_shards, F.col("shard"))).groupBy("digest").agg(F.max(rank).alias("best"))
-        asks = votes.join(best, "digest").filter("shard <> best.s and votes <= best.votes").select(
+        # At first a full shard of linked documents takes no more; ties go to a shard that differs by group and round.
+        targets = [s for s in range(shards) if free[s]] if _WAYS[way] == "open" else list(range(shards))
+        if not targets:
+            way += 1
+            targets = list(range(shards))
+        by_votes = _WAYS[way] != "any"
+        rank = F.struct(
+            F.col("votes") if by_votes else F.lit(0).cast("long").alias("votes"),
+            F.xxhash64("digest", "shard", F.lit(turn)).alias("h"), F.col("shard").alias("s"),
+        )
+        best = votes.filter(F.array_contains(F.array(*map(F.lit, targets)), F.col("shard")))
+        best = best.groupBy("digest").agg(F.max(rank).alias("best"))
+        asks = votes.join(best, "digest").filter("shard <> best.s")
+        asks = (asks.filter("votes <= best.votes") if by_votes else asks).select(
             "digest", "shard", F.col("best.s").alias("to"), "votes"
         )
         asks = stored(asks, "asks")
         wanted = {(r["shard"], r["to"]): r["n"] for r in asks.groupBy("shard", "to").agg(F.sum("votes").alias("n")).collect()}
         allowed = _quotas(wanted, free)
         if not any(allowed.values()):
-            break
+            way += 1
+            continue
         net = [0] * shards
         for (a, b), n in allowed.items():
             net[a] -= n
@@ -126,8 +166,9 @@ def balanced_shards(docs: DataFrame, shards: int = 16, max_rounds: int = MAX_ROU
             F.broadcast(runs), (F.col("shard") == F.col("from")) & F.col("place").between(F.col("first"), F.col("last")), "left"
         ).withColumn("shard", F.coalesce("goes", "shard")).select(state.columns)
         after = stored(moved.unionByName(rest), "shards")
-        before, (votes, free, now) = apart, survey(after)
-        if now >= before:
-            break
-        state, apart = after, now
+        votes_after, free_after, now = survey(after)
+        if now < apart:
+            state, votes, free, apart, way = after, votes_after, free_after, now, min(way, 1)
+        else:
+            way += 1
     return numbered(state, ["shard"], order, "slot", total).drop("linked")
