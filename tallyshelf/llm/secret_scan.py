@@ -23,8 +23,10 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "format"]
-# What may be a credential by its format.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+# What may be a credential by its format, whole or between separators; the shortest value that assign labels.
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")
+_PIECE = re.compile(r"[^=/.]+")
+SHORTEST = 6
 _CLASSES = str.maketrans(
     "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 6 + "g" * 20 + "A" * 6 + "G" * 20
 )
@@ -53,21 +55,48 @@ def _written(spans: list[Span]) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in _ordered(spans))
 
 
-def _others(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-    """Candidates that no base span touches."""
-    taken = sorted((a, b) for _, a, b in base)
+def _runs(text: str, base: list[Span]) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+    """Candidates of the shortest length on, and what base spans leave of each."""
+    taken: list[list[int]] = []
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(b, taken[-1][1])
+        else:
+            taken.append([a, b])
+    at = 0
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        if not any(x < b and a < y for x, y in taken):
+        if b - a < SHORTEST:
+            continue
+        while at < len(taken) and taken[at][1] <= a:
+            at += 1
+        left, start = [], a
+        for x, y in taken[at:]:
+            if x >= b:
+                break
+            if x > start:
+                left.append((start, x))
+            start = max(start, y)
+        if start < b:
+            left.append((start, b))
+        yield a, b, left
+
+
+def _others(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """Candidates that no base span touches."""
+    for a, b, left in _runs(text, base):
+        if left == [(a, b)]:
             yield a, b
 
 
 class Formats:
-    """Automata of credential formats, and symbol pairs of all other long tokens to hold them against."""
+    """Automata of credential formats, and symbol pairs of all other tokens to hold them against."""
 
     def __init__(self, examples: dict[str, dict[str, int]], pairs: dict[str, int], least_bits: float):
         self.automata = [Automaton(e, SYMBOLS) for _, e in sorted(examples.items()) if e]
         self.least_bits = least_bits
+        self.shortest = min((len(f) for e in examples.values() for f in e), default=SHORTEST)
+        self.known: dict[str, bool] = {}
         after = Counter()
         for pair, n in pairs.items():
             after[pair[0]] += n
@@ -80,7 +109,16 @@ class Formats:
 
     def accepts(self, token: str) -> bool:
         """Some automaton gives it the likelihood of its own examples, and far more than ordinary tokens have."""
+        if len(token) < self.shortest:
+            return False
         form = token.translate(_CLASSES)
+        if form not in self.known:
+            if len(self.known) >= 100_000:
+                self.known.clear()
+            self.known[form] = self._accepts(form)
+        return self.known[form]
+
+    def _accepts(self, form: str) -> bool:
         ordinary = None
         for automaton in self.automata:
             if automaton.typical(form):
@@ -89,6 +127,24 @@ class Formats:
                     return True
         return False
 
+    def found(self, text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+        """Accepted runs, else what is accepted of them: rests beside base spans, values behind a name, pieces."""
+        for a, b, left in _runs(text, base):
+            if left and self.accepts(text[a:b]):
+                yield a, b
+                continue
+            for x, y in left:
+                if (x, y) != (a, b) and self.accepts(text[x:y]):
+                    yield x, y
+                    continue
+                value = text.find("=", x, y) + 1
+                if value and self.accepts(text[value:y]):
+                    yield value, y
+                    y = value
+                for m in _PIECE.finditer(text, x, y):
+                    if m.span() != (a, b) and self.accepts(m[0]):
+                        yield m.span()
+
 
 def infer_formats(
     docs: DataFrame, labelled_formats: int = LABELLED_FORMATS, labelled_length: int = LABELLED_LENGTH, least_bits: float = 16.0,
@@ -97,12 +153,13 @@ def infer_formats(
 
     The labelled sample has at most ``labelled_formats`` formats of a kind, those
     of the smallest hashes, no longer than ``labelled_length``. Pairs of symbols
-    in ordinary long tokens are counted over all texts (at most 12 x 12 rows).
+    in ordinary tokens are counted over all texts (at most 12 x 12 rows).
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             forms: Counter = Counter()
+            ordinary: Counter = Counter()
             for text in batch.column("text"):
                 text = text.as_py() or ""
                 base = base_spans(text)
@@ -111,8 +168,10 @@ def infer_formats(
                     if len(value) <= labelled_length:
                         forms[kind, value.translate(_CLASSES)] += 1
                 for a, b in _others(text, base):
-                    form = text[a:b].translate(_CLASSES)
-                    forms.update(("pair", x + y) for x, y in zip("^" + form, form + "$"))
+                    ordinary[text[a:b].translate(_CLASSES)] += 1
+            for form, n in ordinary.items():
+                for x, y in zip("^" + form, form + "$"):
+                    forms["pair", x + y] += n
             kinds, values = zip(*forms) if forms else ((), ())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(list(forms.values()), pa.int64())],
@@ -132,15 +191,16 @@ def infer_formats(
 
 def spans_of(text: str, formats: Formats) -> tuple[list[Span], list[Span]]:
     base = base_spans(text)
-    return base, base + [("format", a, b) for a, b in _others(text, base) if formats.accepts(text[a:b])]
+    return base, base + [("format", a, b) for a, b in formats.found(text, base)]
 
 
 def scan(docs: DataFrame, formats: Formats) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans) for every document.
 
-    Base spans are kept whatever the automata say; tokens of 16 or more
-    characters that no base span touches are added where they have the format
-    of a credential. A null text is the empty text. Null and repeated doc_ids
+    Base spans are kept whatever the automata say. Tokens from the shortest
+    labelled length on are added where they have the format of a credential,
+    as a whole, in what base spans leave of them, or in a piece between = / .
+    A null text is the empty text. Null and repeated doc_ids
     and repeated rows keep their rows. Other columns are ignored.
     """
 
