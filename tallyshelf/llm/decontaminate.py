@@ -17,7 +17,7 @@ from .common import stored
 GRAM = 3
 # A filter of 2 ** FILTER_BITS bits (1 MiB) is all that is broadcast, whatever the benchmark's size.
 FILTER_BITS = 23
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 100_000
 _WORD = re.compile(r"\w+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 

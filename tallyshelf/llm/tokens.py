@@ -5,12 +5,18 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 
 import numpy as np
 
-# Remembered chunks: at most so many, none longer than so many characters (about 100 MB a worker).
-MEMO_ENTRIES = 500_000
+# Remembered chunks: at most so many, none longer than so many characters (about 20 MB a worker and dictionary).
+MEMO_ENTRIES = 80_000
 MEMO_CHARS = 48
+# Runs of white space from this length on don't go through the pattern, which would go back over them step by step.
+LONG_WHITE = 1_000
+# Fixed value: the characters that the pattern's white space stands for.
+_WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+_LONG_WHITE = re.compile(_WHITE + "{%d,}" % LONG_WHITE)
 
 
 class _Odd(Exception):
@@ -53,8 +59,10 @@ class ByteLevelIds:
         bpe = tiktoken.Encoding(
             "file", pat_str=_PIECES, mergeable_ranks=ranks, special_tokens=special,
         )
-        # Specials inside texts are their own ids, the library's default.
-        self.encode = lambda text: bpe.encode(text, allowed_special="all")
+        # One piece whatever it holds: for white space that is merged without the pattern.
+        white = tiktoken.Encoding("white", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+        self.bpe, self.white, self.special = bpe, white.encode_ordinary, special
+        self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.first, self.later = _Chunks(self.encode, ""), _Chunks(self.encode, " ")
 
     def ids(self, text: str) -> bytes:
@@ -67,6 +75,28 @@ class ByteLevelIds:
         except _Odd:
             return np.array(self.encode(text), "<u4").tobytes()
 
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text; specials inside are their own ids, the library's default.
+
+        Long runs of white space are cut out where the pattern cuts: a run is
+        one piece but for its last character, which goes on to what follows; at
+        the end of a stretch between specials the whole run is one piece.
+        """
+        if len(text) < LONG_WHITE or not _LONG_WHITE.search(text):
+            return self.bpe.encode(text, allowed_special="all")
+        found: list[int] = []
+        for part in self.specials.split(text) if self.specials else [text]:
+            if part in self.special:
+                found.append(self.special[part])
+                continue
+            at = 0
+            for run in _LONG_WHITE.finditer(part):
+                end = run.end() - (run.end() < len(part))
+                found += self.bpe.encode_ordinary(part[at:run.start()]) + self.white(part[run.start():end])
+                at = end
+            found += self.bpe.encode_ordinary(part[at:])
+        return found
+
 
 class LibraryIds:
     """Ids by the library that the file is for: ``tokenizers`` for .json, ``sentencepiece`` for .model."""
