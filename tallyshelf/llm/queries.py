@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
+from . import decontaminate, line_dedup, packing, periodic, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
 from .tokens import public_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,22 @@ def op2_quality(spark, sf):
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"), 0.3)
 
 
+@query
+def op11_periodic_runs(spark, sf):
+    """Periodic runs of all documents, a tenth of them with repetitions laid over."""
+    found = periodic.periodic_runs(periodic.planted(table(spark, sf, "documents")))
+    longer = lambda best, x: F.when(  # noqa: E731  the earlier run stays where length / period is the same
+        best["period"].isNull() | (x["length"] * best["period"] > best["length"] * x["period"]), x
+    ).otherwise(best)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    return found.withColumn("best", F.aggregate("runs", none, longer)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 # Times of captures and list entries, in seconds of one year, from digests: the tables have none.
 _YEAR = 31_536_000
 
