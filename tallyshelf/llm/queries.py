@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_dedup, packing, periodic, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
+from . import centroids, decontaminate, line_dedup, packing, periodic, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
 from .tokens import public_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,43 @@ def op11_periodic_runs(spark, sf):
     )
 
 
+@query
+def op12_centroids(spark, sf):
+    """Vectors in 40 clusters after five rounds."""
+    vectors = centroids.quantised(table(spark, sf, "embeddings"), "vec_id", "embedding", 256.0, 64)
+    return centroids.with_inertia(*centroids.clusters(vectors, 40, 5, "2"))
+
+
+# A round: every vector's nearest centroid, then centroids at the floor of their vectors' mean.
+_ROUND = """, a{n} AS MATERIALIZED (
+  SELECT row, min(struct_pack(d := d, c := c)) AS best FROM (
+    SELECT v.row, c.c, list_sum(list_transform(list_zip(v.codes, c.codes), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+    FROM v, c{n} c) GROUP BY row
+), c{m} AS MATERIALIZED (
+  SELECT c.c, coalesce(moved.codes, c.codes) AS codes FROM c{n} c LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS codes FROM (
+      SELECT c, i, sum(x) AS s, count(*) AS n FROM (
+        SELECT a.best.c AS c, unnest(v.codes) AS x, generate_subscripts(v.codes, 1) AS i FROM a{n} a JOIN v USING (row))
+      GROUP BY c, i) GROUP BY c) moved ON moved.c = c.c
+)"""
+ORACLE["op12_centroids"] = (
+    """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS codes
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), codes) - 1 AS INT) AS c, codes
+  FROM v WHERE vec_id IS NOT NULL ORDER BY c LIMIT 40
+)"""
+    + "".join(_ROUND.format(n=n, m=n + 1) for n in range(6))
+    + """
+SELECT vec_id, best.c AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c5.codes, ',')) AS centroid_sha256
+FROM a5 JOIN v USING (row) JOIN c5 ON c5.c = best.c
+"""
+)
+
+
 # Times of captures and list entries, in seconds of one year, from digests: the tables have none.
 _YEAR = 31_536_000
 
