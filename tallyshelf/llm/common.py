@@ -23,6 +23,16 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def lean(spark: SparkSession) -> None:
+    """Batches of whole texts go to Python workers in small numbers: a worker keeps the memory its largest batch took."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
+def text_key(text: Column | str) -> Column:
+    """128-bit digest of a text; null for null."""
+    return F.unhex(F.md5(text))
+
+
 def fresh(df: DataFrame, base: str) -> str:
     """A column name ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -12,13 +12,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import fresh, lean, stored, text_key
 
 GRAM = 3
 # A filter of 2 ** FILTER_BITS bits (1 MiB) is all that is broadcast, whatever the benchmark's size.
 FILTER_BITS = 23
 MEMO_ENTRIES = 100_000
-_WORD = re.compile(r"\w+")
+# Fixed value: letters of scripts that are written without spaces; each is a word.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(f"[{_UNSPACED}]|[^\\W{_UNSPACED}]+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -41,9 +43,9 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _grams(words: list[str], size: int = GRAM) -> np.ndarray:
-    """A hash for every ``size`` words in a row."""
+    """A hash for every ``size`` words in a row; one for all of fewer words, which equals that of the same few words only."""
     if len(words) < size:
-        return np.zeros(0, np.uint64)
+        return np.array([xxhash.xxh64_intdigest("\n".join(words).encode(), len(words))] if words else [], np.uint64)
     ids = np.fromiter(map(_HASH.__getitem__, words), np.uint64, len(words))
     n = len(ids) - size + 1
     sums = ids[:n] * _ODD[0]
@@ -76,7 +78,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """(item_id, pos, gram): every gram of the items; items of fewer words than a gram have none."""
+    """(item_id, pos, gram): every gram of the items."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,14 +134,14 @@ def seeds(grams: DataFrame, frequencies: DataFrame, rare_docs: int, span: int) -
 
 
 def _passages(docs: DataFrame, data: bytes, reach: int) -> DataFrame:
-    """(doc_id, first, words, digest, grams): stretches around seeds, ``reach`` words further on both sides."""
+    """(doc_id, text_key, first, words, digest, grams): stretches around seeds, ``reach`` words further on both sides."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = _unpacked(data)
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.binary(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64())]
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            for doc, text in zip(batch.column("doc_id"), batch.column("text")):
+            out: list[list] = [[], [], [], [], [], []]
+            for doc, key, text in zip(batch.column("doc_id"), batch.column("text_key"), batch.column("text")):
                 words = words_of(text.as_py())
                 grams = _grams(words)
                 hits = np.flatnonzero(wanted[_place(grams)])
@@ -148,15 +150,16 @@ def _passages(docs: DataFrame, data: bytes, reach: int) -> DataFrame:
                 for part in np.split(hits, np.flatnonzero(np.diff(hits) > 2 * reach) + 1):
                     first, last = max(0, int(part[0]) - reach), int(part[-1]) + GRAM + reach
                     joined = " ".join(words[first:last])
-                    row = (doc.as_py(), first, joined, hashlib.md5(joined.encode()).digest(), np.unique(grams[part]).view(np.int64))
+                    row = (doc.as_py(), key.as_py(), first, joined, hashlib.md5(joined.encode()).digest(), np.unique(grams[part]).view(np.int64))
                     for column, value in zip(out, row):
                         column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "first", "words", "digest", "grams"]
+                [pa.array(c, k) for c, k in zip(out, kinds)], ["doc_id", "text_key", "first", "words", "digest", "grams"]
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        rows, "doc_id long, first long, words string, digest binary, grams array<long>"
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"), text.alias("text")).mapInArrow(
+        rows, "doc_id long, text_key binary, first long, words string, digest binary, grams array<long>"
     )
 
 
@@ -203,12 +206,31 @@ def _aligned(pairs: DataFrame) -> DataFrame:
     )
 
 
+def _hits(docs: DataFrame, benchmark: DataFrame, threshold: float, rare_docs: int, span: int) -> DataFrame:
+    """(doc_id, text_key, item_id, similarity, end_word) of every stretch that holds an item."""
+    lean(docs.sparkSession)
+    grams = stored(items_of(benchmark), "grams")
+    # Words of the longest item, as it was cut.
+    reach = (grams.agg(F.max("pos")).first()[0] or 0) + GRAM
+    frequencies = _frequencies(docs, _packed(_filter(grams)))
+    chosen = stored(seeds(grams, frequencies, rare_docs, span), "seeds")
+    passages = stored(_passages(docs, _packed(_filter(chosen)), reach), "passages")
+    # One copy of each stretch, however many documents share it.
+    distinct = passages.groupBy("digest").agg(F.first("words").alias("words"), F.first("grams").alias("grams"))
+    pairs = distinct.select("digest", F.explode("grams").alias("gram")).join(chosen, "gram").select("digest", "item_id").distinct()
+    text = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
+    scored = _aligned(pairs.join(distinct.select("digest", "words"), "digest").join(text, "item_id"))
+    hits = stored(scored.filter(F.col("similarity") >= threshold), "aligned")
+    return passages.select("doc_id", "text_key", "first", "digest").join(hits, "digest").select(
+        "doc_id", "text_key", "item_id", "similarity", (F.col("first") + F.col("end_word")).alias("end_word"))
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, rare_docs: int = 50, span: int = 4,
 ) -> DataFrame:
     """Documents that hold a test item, whole or edited: (doc_id, item_id, similarity, end_word).
 
-    Words are ``\\w+`` in lower case. Item grams are counted over all documents;
+    Words are ``\\w+`` in lower case, single letters in scripts without spaces. Item grams are counted over all documents;
     an item's rare grams, and the rarest of every few in a row, are its seeds.
     Stretches of documents around seeds meet items by equality of a seed, equal
     stretches once, and are aligned word by word (+2 match, -1 substitution or
@@ -219,26 +241,25 @@ def leaks(
     What tasks are sent is a filter of fixed size; grams that pass it by chance
     find no item. No stretch, pair or document is left out.
 
-    Null and empty texts hold nothing, on either side; items of fewer than three
-    words have no gram and match nothing. Repeated items of one id count by the
+    Null and empty texts hold nothing, on either side. Items of one or two words
+    are found where they are a document's whole text: inside longer ones such
+    words say nothing. Repeated items of one id count by the
     best. A null doc_id keeps its row; repeated rows of a doc_id give one row
     for each item. Other columns are ignored; empty tables give no rows.
     """
-    grams = stored(items_of(benchmark), "grams")
-    reach = benchmark.select(F.max(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    frequencies = _frequencies(docs, _packed(_filter(grams)))
-    chosen = stored(seeds(grams, frequencies, rare_docs, span), "seeds")
-    passages = stored(_passages(docs, _packed(_filter(chosen)), reach), "passages")
-    # One copy of each stretch, however many documents share it.
-    distinct = passages.groupBy("digest").agg(F.first("words").alias("words"), F.first("grams").alias("grams"))
-    pairs = distinct.select("digest", F.explode("grams").alias("gram")).join(chosen, "gram").select("digest", "item_id").distinct()
-    text = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    scored = _aligned(pairs.join(distinct.select("digest", "words"), "digest").join(text, "item_id"))
-    hits = stored(scored.filter(F.col("similarity") >= threshold), "aligned")
-    return (
-        passages.select("doc_id", "first", "digest").join(hits, "digest")
-        .groupBy("doc_id", "item_id").agg(
-            F.max("similarity").alias("similarity"),
-            F.min(F.col("first") + F.col("end_word")).alias("end_word"),
-        )
-    )
+    return _hits(docs, benchmark, threshold, rare_docs, span).groupBy("doc_id", "item_id").agg(
+        F.max("similarity").alias("similarity"), F.min("end_word").alias("end_word"))
+
+
+def without_leaks(
+    docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, rare_docs: int = 50, span: int = 4,
+) -> DataFrame:
+    """``docs`` but for the rows whose text holds a test item, as ``leaks`` finds them.
+
+    Rows go by doc_id and text together, so a null doc_id hides no leak, and of
+    rows that share a doc_id only those that hold an item go.
+    """
+    doc, key = fresh(docs, "leak_doc"), fresh(docs, "leak_key")
+    found = _hits(docs, benchmark, threshold, rare_docs, span).select(F.col("doc_id").alias(doc), F.col("text_key").alias(key)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & text_key(F.col("text").cast("string")).eqNullSafe(F.col(key))
+    return docs.join(found, same, "left_anti")

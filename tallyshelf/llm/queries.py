@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, decontaminate, line_dedup, packing, periodic, quality, secret_scan, sharding, simhash, token_counts, topk, url_filter
+from . import centroids, decontaminate, line_dedup, packing, periodic, quality, secret_scan, set_join, sharding, simhash, token_counts, topk, url_filter
 from .tokens import public_file
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,13 @@ FROM a5 JOIN v USING (row) JOIN c5 ON c5.c = best.c
 )
 
 
+@query
+def op13_jaccard_join(spark, sf):
+    """Components of documents whose 4-word shingles overlap by 85 % or more."""
+    found = set_join.jaccard_components(table(spark, sf, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 # Times of captures and list entries, in seconds of one year, from digests: the tables have none.
 _YEAR = 31_536_000
 

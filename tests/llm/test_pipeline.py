@@ -10,8 +10,8 @@ import corpus_pipeline
 from tallyshelf.llm import decontaminate, quality, secret_scan, simhash
 
 from .fixtures import SF, docs, real
+from .test_near_copies import plain_components
 from .test_quality_secrets import plain_base
-from .test_simhash_sharding import plain_fingerprint, smallest_reachable
 from .test_tokens_packing import check_packed
 
 
@@ -45,8 +45,25 @@ def test_quality_stage(spark, stages):
 def test_near_dedup_stage(stages):
     before, after = texts(stages[1]), texts(stages[2])
     ids = sorted(before)
-    roots = smallest_reachable([plain_fingerprint(before[i]) for i in ids])
-    assert set(after) == {ids[r] for r in roots}
+    roots = plain_components([(i, before[i]) for i in ids])
+    assert set(after) == {ids[r] for r in roots} and len(after) < len(before)
+
+
+def test_repeated_and_unnamed_rows(spark):
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "g h i j k l"), (2, "m n o p q r"), (None, "s t u v w x"),
+            (None, "s t u v w x"), (3, None), (4, ""), (5, "A b c  d e f")]
+    df = docs(spark, rows)
+    left = corpus_pipeline.simhash_near_dedup(spark, df, SF)
+    assert left.columns == df.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [
+        (0, "s t u v w x"), (1, "a b c d e f"), (2, "g h i j k l"), (2, "m n o p q r"), (3, "")]
+
+
+def test_leaks_go_by_row(spark):
+    (item,) = [t for _, t in real("benchmark", "item_id, text")][:1]
+    rows = [(1, "quite another text of some words"), (1, f"before it {item} behind it"), (None, item), (None, "clean words without an id")]
+    left = corpus_pipeline.benchmark_decontamination(spark, docs(spark, rows), SF)
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == [(0, rows[3][1]), (1, rows[0][1])]
 
 
 def test_decontamination_stage(stages):

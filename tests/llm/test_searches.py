@@ -275,3 +275,17 @@ def test_few_negative_and_huge(spark):
 def test_real_vectors(spark):
     rows = [(i, list(v)) for i, v in real("embeddings", "vec_id, embedding")]
     assert top(spark, rows, 20, 20) == plain_top(rows, 20, 20)
+
+
+def test_items_without_spaces_and_short_ones(spark):
+    rng = random.Random(8)
+    hyphened = "-".join(f"w{rng.randint(0, 9999)}" for _ in range(60))
+    parts = hyphened.split("-")
+    edited = "-".join(p if k % 7 else "zz" for k, p in enumerate(parts))
+    chinese = "这是一个没有空格的句子用来检查基准测试的泄漏"
+    items = [(1, hyphened), (2, chinese), (3, "two words"), (4, "Single")]
+    rows = [(10, f"some text before {edited} and after"), (11, f"前面的文字{chinese}后面的文字"), (12, chinese), (13, "Two  words"), (14, "single"),
+            (15, "a longer text that holds two words and a single one"), (16, "完全不同的另外一些文字在这里没有关系")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs(spark, rows), bench).collect()}
+    assert found == {(10, 1), (11, 2), (12, 2), (13, 3), (14, 4)}
