@@ -59,6 +59,11 @@ def dedupe_facts(facts: DataFrame) -> DataFrame:
     return pick_first(facts, S.FACT_KEY, [F.col("collected_at").desc_nulls_last()])
 
 
+def dedupe_snapshots(measures: DataFrame) -> DataFrame:
+    """One row per product and day, the newest one: ``dedupe_facts`` before the keys are looked up."""
+    return pick_first(measures, S.SNAPSHOT_KEY, [F.col("collected_at").desc_nulls_last()])
+
+
 def dedupe_sales(sales: DataFrame) -> DataFrame:
     """One row per order and product: the largest line number, then the highest unit price."""
     order = [F.col("order_item_id").desc_nulls_last(), F.col("unit_price").desc_nulls_last()]

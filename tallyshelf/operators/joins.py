@@ -92,10 +92,15 @@ def unresolved_facts(resolved: DataFrame) -> DataFrame:
 
 def fact_measure_projection(resolved: DataFrame) -> DataFrame:
     """Warehouse types for the fact measures; a value that does not fit is NULL."""
+    return fact_measures(resolved, S.FACT_KEY)
+
+
+def fact_measures(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys`` and the fact measures in warehouse types."""
     types = {f.name: f.dataType.simpleString() for f in S.FACT_EXTERNAL}
     names = ["price", "original_price", "discount_percent", "rating", "review_count", "sold_count"]
-    return resolved.select(
-        *S.FACT_KEY, "currency",
+    return rows.select(
+        *keys, "currency",
         *[F.col(n).try_cast(types[n]).alias(n) for n in names],
         "seller_name", "product_url", F.col("collected_at").cast("timestamp").alias("collected_at"),
     )

@@ -1,28 +1,31 @@
-"""The warehouse as Parquet folders, and its idempotent loads.
+"""The warehouse as plain Parquet tables, and its idempotent loads.
 
 Layout below ``root``::
 
-    data/<table>/<id>/            one write of a table
+    <table>/                      facts by calendar month, product and customer
+                                  dimensions by a hash of their natural key
+    sales_month/                  the month each sale is stored in, by a hash of its key
+    log/                          a row when a load starts to write, one when it is through
     scratch/<load>/               steps of a running load, removed at its end
-    pointer.json                  which folders make up each table, the highest
-                                  surrogate key handed out, streams' last batch
-
-A load writes new folders and then swaps the pointer. Readers follow it, so
-they see all of a load or nothing of it. Fact tables are kept in
-calendar-month segments: a load reads and, for an upsert, rewrites only the
-months its batch touches, never the whole history. A month that many loads have
-added to is rewritten as one folder.
+
+A load works on scratch tables and writes when all of them stand: dimensions
+first, facts last, new rows appended, touched parts and months overwritten by
+Spark's dynamic partition overwrite. A load that fails before that leaves
+nothing; one that is cut off while it writes is repeated, which adds what is
+missing, as no load adds a row twice. Only the touched months and parts are read
+and written, never the whole history.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import columns as C
@@ -31,76 +34,84 @@ from ..operators.gates import GateError
 from ..operators.keys import assign_surrogate_keys
 from ..operators.standardize import filter_catalog_dim, filter_loadable
 
-_SEGMENTED = {"fact_external_product": "date_key", "fact_sales": "date_key"}
-_SEGMENT = "_month"
+_PART = "_part"
+# Parts of a dimension, and of the months by sale.
+PARTS = 32
 _KEYS = {
     "dim_platform": "platform_key", "dim_product": "product_key", "dim_customer": "customer_key",
     "fact_sales": "sales_key", "fact_external_product": "external_fact_key",
 }
 # Facts are many: more buckets, so that none gets large.
-# Folders of a month from which on the next load rewrites it.
-_MAX_FOLDERS = 16
 _KEY_HEX_DIGITS = {"fact_sales": 4, "fact_external_product": 4}
+_MONTHS = "sales_month"
+_SCHEMAS = {**S.WAREHOUSE, _MONTHS: T.StructType([
+    T.StructField("order_id", T.LongType()), T.StructField("product_key", T.LongType()), T.StructField("month", T.IntegerType()),
+])}
+_LOG = "version long, done boolean, keys map<string,bigint>, batches map<string,bigint>"
+_ORDER = ["dim_date", "dim_platform", "dim_product", "dim_customer", _MONTHS, "fact_sales", "fact_external_product"]
+
+
+def month_of(day: str = "date_key") -> Column:
+    return F.floor(F.col(day) / 100).cast("int")
+
+
+def part_of(*key: str) -> Column:
+    """The part of a table that holds a natural key."""
+    return F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")
+
+
+# What a table's rows are dealt to folders by; other tables are small and lie in one.
+_PARTED = {
+    "dim_product": lambda: part_of(*S.PRODUCT_KEY), "dim_customer": lambda: part_of("source_customer_id"),
+    _MONTHS: lambda: part_of(*S.SALES_KEY), "fact_sales": month_of, "fact_external_product": month_of,
+}
 
 
 class Warehouse:
-    """Tables of one warehouse root, as the pointer names them."""
+    """Tables of one warehouse root."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _pointer(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/pointer.json")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def head(self) -> dict:
-        """What the pointer names: version, table -> segment -> folders, last key per table, last batch per stream."""
-        path, fs = self._pointer()
-        if not fs.exists(path):
-            return {"version": 0, "tables": {}, "keys": {}, "batches": {}}
-        stream = fs.open(path)
-        try:
-            return json.loads(bytes(stream.readAllBytes()).decode())
-        finally:
-            stream.close()
+        """Version, whether its load is through, last key per table, last batch per stream: of the newest rows of the log."""
+        newest = self._stored(f"{self.root}/log", T._parse_datatype_string(_LOG)).orderBy(
+            F.desc("version"), F.desc("done")).first()
+        if newest is None:
+            return {"version": 0, "done": True, "keys": {}, "batches": {}}
+        return {"version": newest["version"], "done": newest["done"], "keys": dict(newest["keys"]), "batches": dict(newest["batches"])}
 
-    def swap(self, head: dict, base_version: int) -> None:
-        """Put a new pointer in place of the one a load started from. One load at a time: the check isn't a lock."""
-        if self.head()["version"] != base_version:
-            raise GateError("another load was published meanwhile; run this one again")
-        path, fs = self._pointer()
-        jvm = self.spark._jvm.org.apache.hadoop.fs
-        fresh = jvm.Path(f"{self.root}/pointer-{uuid.uuid4().hex}.json")
-        stream = fs.create(fresh, True)
-        stream.write(bytearray(json.dumps(head).encode()))
-        stream.close()
-        over = self.spark.sparkContext._gateway.new_array(jvm.Options.Rename, 1)
-        over[0] = jvm.Options.Rename.OVERWRITE
-        jvm.FileContext.getFileContext(fs.getUri(), self.spark._jsc.hadoopConfiguration()).rename(
-            fs.makeQualified(fresh), fs.makeQualified(path), over
-        )
+    def log(self, version: int, done: bool, keys: dict, batches: dict) -> None:
+        row = self.spark.createDataFrame([(version, done, keys, batches)], _LOG)
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/log")
 
     def read(self, table: str, columns: list[str] | None = None, months: list[int] | None = None) -> DataFrame:
-        """Stored table; only the wanted columns and month segments are read."""
-        return self._frame(self.head()["tables"].get(table, {}), table, columns, months)
+        """Stored table; only the wanted columns and months (or parts) are read."""
+        df = self.parts(table, months).drop(_PART)
+        return df.select(*columns) if columns else df
 
     def frames(self) -> dict[str, DataFrame]:
-        tables = self.head()["tables"]
-        return {name: self._frame(tables.get(name, {}), name) for name in S.WAREHOUSE}
-
-    def _frame(self, segments: dict, table: str, columns: list[str] | None = None, months: list[int] | None = None):
-        schema = S.WAREHOUSE[table]
-        wanted = segments.values() if months is None else [segments.get(str(m), []) for m in months]
-        folders = [f"{self.root}/{folder}" for group in wanted for folder in group]
-        if folders:
-            df = self.spark.read.schema(schema).parquet(*folders)
-        else:
-            df = self.spark.createDataFrame([], schema)
-        return df.select(*columns) if columns else df
+        return {name: self.read(name) for name in S.WAREHOUSE}
+
+    def parts(self, table: str, parts: list[int] | None = None) -> DataFrame:
+        """Stored rows with the folder they lie in."""
+        schema = T.StructType([*_SCHEMAS[table], T.StructField(_PART, T.IntegerType())])
+        df = self._stored(f"{self.root}/{table}", schema if table in _PARTED else _SCHEMAS[table])
+        if table not in _PARTED:
+            return df.withColumn(_PART, F.lit(0))
+        return df if parts is None else df.filter(F.col(_PART).isin(*parts))
+
+    def _stored(self, path: str, schema: T.StructType) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     @contextmanager
     def publish(self, batch: tuple[str, int] | None = None):
-        """A load: everything it adds becomes visible together, or not at all. ``batch``: a stream's name and batch number."""
+        """A load: what it adds is written when it is complete, or not at all. ``batch``: a stream's name and batch number."""
         load = Load(self, batch)
         try:
             yield load
@@ -110,19 +121,35 @@ class Warehouse:
 
 
 class Load:
-    """Staged changes of one load. Reads see what the load itself has staged."""
+    """Changes of one load. Reads see what the load itself has staged."""
 
     def __init__(self, warehouse: Warehouse, batch: tuple[str, int] | None):
         self.wh, self.spark = warehouse, warehouse.spark
         head = warehouse.head()
-        self.base_version, self.keys = head["version"], dict(head["keys"])
-        self.tables = {name: dict(segments) for name, segments in head["tables"].items()}
-        self.batches = {**head["batches"], **(dict([batch]) if batch else {})}
+        self.base_version, self.batches = head["version"], {**head["batches"], **(dict([batch]) if batch else {})}
+        # After a load that was cut off while it wrote, its keys are looked up in the tables.
+        self.keys = head["keys"] if head["done"] else self._highest()
+        self.staged: dict[str, list[DataFrame]] = {}
+        self.replaced: dict[str, set[int]] = {}
+        self.last: list[tuple] = []
         self.changed = batch is not None
-        self._scratch = f"{warehouse.root}/scratch/{uuid.uuid4().hex}"
+        self._scratch, self._names = f"{warehouse.root}/scratch/{uuid.uuid4().hex}", []
+
+    def _highest(self) -> dict:
+        found = {t: self.wh.read(t, [key]).agg(F.max(key)).first()[0] for t, key in _KEYS.items()}
+        return {t: int(k) for t, k in found.items() if k is not None}
+
+    def parts(self, table: str, parts: list[int] | None = None) -> DataFrame:
+        df = self.wh.parts(table, parts)
+        if self.replaced.get(table):
+            df = df.filter(~F.col(_PART).isin(*self.replaced[table]))
+        for more in self.staged.get(table, []):
+            df = df.unionByName(more if parts is None or table not in _PARTED else more.filter(F.col(_PART).isin(*parts)))
+        return df
 
     def read(self, table: str, columns: list[str] | None = None, months: list[int] | None = None) -> DataFrame:
-        return self.wh._frame(self.tables.get(table, {}), table, columns, months)
+        df = self.parts(table, months).drop(_PART)
+        return df.select(*columns) if columns else df
 
     def scratch(self, df: DataFrame) -> DataFrame:
         """Write an intermediate result and go on from the written table, until the load ends."""
@@ -130,71 +157,110 @@ class Load:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def bucketed(self, df: DataFrame, keys: list[str]) -> DataFrame:
+        """``scratch`` in buckets by ``keys``: joins, windows and groups on them (or more) need no further shuffle of it."""
+        name, n = f"load_{uuid.uuid4().hex}", int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self._names.append(name)
+        df.repartition(n, *keys).write.format("parquet").option("path", f"{self._scratch}/{name}").bucketBy(n, *keys).sortBy(
+            *keys).saveAsTable(name)
+        return df.sparkSession.table(name)
+
     def drop_scratch(self) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._scratch)
+        for name in self._names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self._remove(self._scratch)
+
+    def _remove(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def number(self, table: str, rows: DataFrame, natural_key: list[str]) -> DataFrame:
         """Rows with the table's next surrogate keys and in its column order."""
         key, schema = _KEYS[table], S.WAREHOUSE[table]
-        numbered = assign_surrogate_keys(
+        return assign_surrogate_keys(
             rows, natural_key, key, self.keys.get(table, 0), _KEY_HEX_DIGITS.get(table, 3),
             schema[key].dataType.simpleString(),
         )
-        return numbered
 
     def append(self, table: str, rows: DataFrame) -> int:
-        """Add rows; returns how many. Months with too many folders become one again."""
-        n = self._put(table, rows)
-        crowded = [int(m) for m, f in self.tables.get(table, {}).items() if m != "all" and len(f) > _MAX_FOLDERS]
-        if crowded:
-            self.replace(table, self.read(table, months=crowded), crowded)
-        return n
-
-    def replace(self, table: str, rows: DataFrame, months: list[int] | None = None) -> int:
-        """Rewrite a table, or of a segmented table the given months.
-
-        ``rows`` is then all there is in those months.
+        """Add rows; returns how many."""
+        out, seen = _observed(table, rows)
+        self.staged.setdefault(table, []).append(self.scratch(out))
+        return self._count(table, seen.get)
+
+    def replace(self, table: str, rows: DataFrame, parts: list[int]) -> int:
+        """Rewrite parts of a table; ``rows`` is then all there is in them."""
+        out, seen = _observed(table, rows)
+        new = self.scratch(out)
+        self.staged[table] = [df.filter(~F.col(_PART).isin(*parts)) for df in self.staged.get(table, [])] + [new]
+        self.replaced.setdefault(table, set()).update(parts)
+        self.changed = True
+        return self._count(table, seen.get)
+
+    def at_last(self, table: str, rows: DataFrame, months: list[int] | None, told: Callable[[int], None], counted: Column | None = None) -> None:
+        """Facts that go straight into their table at the load's end, over ``months`` or beside what is there.
+
+        ``told`` gets the number of rows (of those that ``counted`` says).
         """
-        return self._put(table, rows, [str(m) for m in months] if months is not None else ["all"])
-
-    def _put(self, table: str, rows: DataFrame, replace: list[str] | None = None) -> int:
-        schema = S.WAREHOUSE[table]
-        out = rows.select(*[_cell(rows, f).alias(f.name) for f in schema])
-        folder = f"data/{table}/{uuid.uuid4().hex}"
-        path = f"{self.wh.root}/{folder}"
-        if table in _SEGMENTED:
-            day = _SEGMENTED[table]
-            # Rebalancing brings a month's rows together, splits a large month
-            # and joins small ones by size, without a sampling run before.
-            out = out.withColumn(_SEGMENT, F.floor(F.col(day) / 100).cast("int")).hint("rebalance", F.col(_SEGMENT))
-            out.write.partitionBy(_SEGMENT).parquet(path)
-            stored = self.spark.read.schema(f"{_SEGMENT} int, {_KEYS[table]} bigint").parquet(path)
-            parts = stored.groupBy(_SEGMENT).agg(
-                F.count("*").alias("n"), F.max(_KEYS[table]).alias("k")
-            ).collect()  # one row per calendar month
-            fresh = {str(p[_SEGMENT]): [f"{folder}/{_SEGMENT}={p[_SEGMENT]}"] for p in parts}
-            n, top = sum(p.n for p in parts), max((p.k for p in parts), default=0)
-        else:
-            out.write.parquet(path)
-            key = _KEYS.get(table)
-            top_key = F.max(key) if key else F.lit(0)
-            n, top = self.spark.read.schema(schema).parquet(path).agg(F.count("*"), top_key).first()
-            fresh = {"all": [folder]} if n else {}
-        if n or replace:
-            current = self.tables.setdefault(table, {})
-            for segment in replace or []:
-                current.pop(segment, None)
-            for segment, folders in fresh.items():
-                current[segment] = current.get(segment, []) + folders
-            self.keys[table] = max(self.keys.get(table, 0), top or 0)
-            self.changed = True
+        self.last.append((table, rows, months, told, counted))
+
+    def _count(self, table: str, seen: dict) -> int:
+        n, top = seen.get("n") or 0, seen.get("top")
+        self.changed |= n > 0
+        if top is not None:
+            self.keys[table] = max(self.keys.get(table, 0), int(top))
         return n
 
     def commit(self) -> None:
-        if self.changed:
-            head = {"version": self.base_version + 1, "tables": self.tables, "keys": self.keys, "batches": self.batches}
-            self.wh.swap(head, self.base_version)
+        if not (self.changed or self.last):
+            return
+        if self.wh.head()["version"] != self.base_version:
+            raise GateError("another load was published meanwhile; run this one again")
+        version, keys = self.base_version + 1, dict(self.keys)
+        self.wh.log(version, False, keys, self.batches if self.base_version else {})
+        for table in [t for t in _ORDER if t in self.staged]:
+            rows = self.staged[table][0]
+            for more in self.staged[table][1:]:
+                rows = rows.unionByName(more)
+            over = sorted(self.replaced.get(table, ()))
+            if over:
+                self._write(table, rows.filter(F.col(_PART).isin(*over)), over)
+                rows = rows.filter(~F.col(_PART).isin(*over))
+            self._write(table, rows)
+        for table, rows, months, told, counted in self.last:
+            out, seen = _observed(table, rows, counted)
+            self._write(table, out, months)
+            told(self._count(table, seen.get))
+        self.wh.log(version, True, self.keys, self.batches)
+
+    def _write(self, table: str, rows: DataFrame, over: list[int] | None = None) -> None:
+        path = f"{self.wh.root}/{table}"
+        if table not in _PARTED:
+            rows.drop(_PART).write.mode("append").parquet(path)
+            return
+        # Rebalancing brings a folder's rows together, splits a large one and joins small ones by size, without a sampling run before.
+        writer = rows.hint("rebalance", F.col(_PART)).write.partitionBy(_PART)
+        if over is None:
+            writer.mode("append").parquet(path)
+            return
+        seen = Observation()
+        rows.observe(seen, F.collect_set(_PART).alias("parts")).hint("rebalance", F.col(_PART)).write.partitionBy(_PART).mode(
+            "overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+        # Overwriting leaves folders that got no rows; all of their rows have moved elsewhere.
+        for part in set(over) - set(seen.get.get("parts") or []):
+            self._remove(f"{path}/{_PART}={part}")
+
+
+def _observed(table: str, rows: DataFrame, counted: Column | None = None) -> tuple[DataFrame, Observation]:
+    """``rows`` in the table's columns and folders; how many there are and their highest key are known once they are written."""
+    seen, key = Observation(), _KEYS.get(table)
+    cells = [_cell(rows, f).alias(f.name) for f in _SCHEMAS[table]]
+    extra = [counted.alias("_counted")] if counted is not None else []
+    out = rows.select(*cells, *extra)
+    out = out.withColumn(_PART, _PARTED[table]() if table in _PARTED else F.lit(0))
+    n = F.count_if("_counted") if extra else F.count(F.lit(1))
+    top = F.max(key).cast("long") if key else F.lit(None).cast("long")
+    return out.observe(seen, n.alias("n"), F.max(top if not key else F.col(key).cast("long")).alias("top")).drop("_counted"), seen
 
 
 def _cell(df: DataFrame, field) -> Column:
@@ -317,9 +383,9 @@ def load_dates(load: Load, days: DataFrame) -> None:
     _gate_zero(joins.missing_dates(days, load.read("dim_date")), "days missing from dim_date")
 
 
-def _months(df: DataFrame, day: str = "date_key") -> list[int]:
-    """Calendar months a batch touches: one row per month."""
-    return [r[0] for r in df.select(F.floor(F.col(day) / 100).cast("int")).distinct().collect() if r[0] is not None]
+def _values(df: DataFrame, column: Column) -> list[int]:
+    """The months or parts a batch touches: one row for each."""
+    return sorted(r[0] for r in df.select(column.alias("v")).distinct().collect() if r[0] is not None)
 
 
 def load_new_products(load: Load, rows: DataFrame, at: Column | None = None) -> int:
@@ -340,28 +406,33 @@ def load_fact_external(
 ) -> int:
     """Load processed snapshots: dates, platforms, products, then facts.
 
-    ``products`` is read once per table, so pass a stored table rather than a
-    long plan.
+    The batch is written once in buckets by product; new products, names, the
+    pick of one fact per key and the product lookup all work on those buckets
+    without shuffling it again.
     ``policy="insert"`` keeps existing facts; ``"upsert"`` overwrites currency,
     price, url and collection time of existing ones. ``created_at`` may add a
     ``created_at`` column to new product rows (for back-filled history).
     Returns the number of new facts. Running a load again adds nothing.
     """
     valid = filter_loadable(products.withColumn("observation_date", F.to_date("observation_date")))
+    added: list[int] = []
     with wh.publish(batch) as load:
+        valid = load.bucketed(valid, ["platform", "external_product_id"])
         load_dates(load, valid.select(F.col("observation_date").alias("full_date")))
         load_platforms(load, valid)
         fresh = joins.new_products(valid, load.read("dim_product")).drop("collected_at")
         load_new_products(load, created_at(fresh) if created_at else fresh, at)
         if policy == "upsert":
             refresh_product_names(load, valid, at)
+        # Natural and surrogate keys name the same facts, so the pick is made before the lookups, inside the buckets.
+        picked = dedupe.dedupe_snapshots(joins.fact_measures(valid, S.SNAPSHOT_KEY))
         resolved = joins.resolve_fact_keys(
-            valid, load.read("dim_platform"), load.read("dim_product"), load.read("dim_date")
+            picked, load.read("dim_platform"), load.read("dim_product"), load.read("dim_date")
         )
         # The three lookups run once; the gate and the numbering read their result.
-        staged = load.scratch(dedupe.dedupe_facts(joins.fact_measure_projection(resolved)))
+        staged = load.scratch(resolved.drop(*S.SNAPSHOT_KEY))
         _gate_zero(joins.unresolved_facts(staged), "facts without a dimension key")
-        months = _months(staged)
+        months = _values(staged, month_of())
         stored = load.read("fact_external_product", months=months)
         rows = _stamped(_stamped(staged, "processed_at", at), "loaded_at", at)
         if policy == "upsert":
@@ -369,25 +440,27 @@ def load_fact_external(
             updated, new = upsert(stored, rows, S.FACT_KEY, changed)
             new = load.number("fact_external_product", new, S.FACT_KEY)
             columns = [f.name for f in S.FACT_EXTERNAL]
-            merged = updated.select(*columns).unionByName(new.select(*columns))
-            return load.replace("fact_external_product", merged, months) - stored.count()
-        new = load.number("fact_external_product", joins.new_facts(rows, stored), S.FACT_KEY)
-        return load.append("fact_external_product", new)
+            merged = updated.select(*columns, F.lit(False).alias("_is_new")).unionByName(
+                new.select(*columns, F.lit(True).alias("_is_new")))
+            load.at_last("fact_external_product", merged, months, added.append, F.col("_is_new"))
+        else:
+            new = load.number("fact_external_product", joins.new_facts(rows, stored), S.FACT_KEY)
+            load.at_last("fact_external_product", new, None, added.append)
+    return sum(added)
 
 
 def refresh_product_names(load: Load, products: DataFrame, at: Column | None = None) -> None:
-    """Newest name of every product in the batch; equal times go to the alphabetically last one."""
+    """Newest name of every product in the batch; equal times go to the alphabetically last one. Only parts with a changed name are rewritten."""
     newest = F.max_by("product_name", F.struct("collected_at", "product_name")).alias("product_name")
-    names = products.groupBy(
-        F.col("platform").alias("source_system"), F.col("external_product_id").alias("source_product_id")
-    ).agg(newest)
-    stored = load.read("dim_product")
-    changed = load.scratch(stored.select(*S.PRODUCT_KEY, F.col("product_name").alias("_stored")).join(names, S.PRODUCT_KEY).filter(
-        ~F.col("product_name").eqNullSafe(F.col("_stored"))
-    ).drop("_stored"))
-    if not changed.isEmpty():
-        updated, _ = upsert(stored, changed, S.PRODUCT_KEY, ["product_name"], "updated_at", at)
-        load.replace("dim_product", updated)
+    names = products.groupBy("platform", "external_product_id").agg(newest).withColumnsRenamed(
+        {"platform": "source_system", "external_product_id": "source_product_id"})
+    stored = load.read("dim_product", [*S.PRODUCT_KEY, "product_name"]).withColumnRenamed("product_name", "_stored")
+    changed = load.scratch(stored.join(names, S.PRODUCT_KEY).filter(
+        ~F.col("product_name").eqNullSafe(F.col("_stored"))).drop("_stored"))
+    touched = _values(changed, part_of(*S.PRODUCT_KEY))
+    if touched:
+        updated, _ = upsert(load.read("dim_product", months=touched), changed, S.PRODUCT_KEY, ["product_name"], "updated_at", at)
+        load.replace("dim_product", updated, touched)
 
 
 def upsert_fact_external(wh: Warehouse, products: DataFrame, **options) -> int:
@@ -398,14 +471,15 @@ def upsert_dimension(
     load: Load, table: str, source: DataFrame, keys: list[str], set_columns: list[str], stamp: str | None,
     at: Column | None = None,
 ) -> None:
-    """Upsert a dimension; it is rewritten only if a stored row is touched."""
-    updated, new = upsert(load.read(table), source, keys, set_columns, stamp, at)
-    hits = not load.read(table, keys).join(source.select(*keys), keys, "left_semi").isEmpty()
-    numbered = _stamped(load.number(table, load.scratch(new), keys), "created_at", at)
+    """Upsert a dimension. Parts that hold a key of the batch are rewritten, new rows of other parts appended; no other part is read."""
+    source = load.scratch(source)
+    stored = load.read(table, months=_values(source, part_of(*keys)))
+    hits = _values(stored.select(*keys).join(source.select(*keys), keys, "left_semi"), part_of(*keys))
+    new = load.scratch(joins.missing_from(source, stored, keys))
     if hits:
-        load.replace(table, updated.unionByName(numbered, allowMissingColumns=True))
-    else:
-        load.append(table, numbered)
+        updated, _ = upsert(load.read(table, months=hits), source, keys, set_columns, stamp, at)
+        load.replace(table, updated, hits)
+    load.append(table, _stamped(load.number(table, new, keys), "created_at", at))
 
 
 def upsert_dim_product(load: Load, source: DataFrame, at: Column | None = None) -> None:
@@ -440,16 +514,21 @@ def upsert_fact_sales(load: Load, orders: DataFrame, order_items: DataFrame, at:
     dim_product = load.read("dim_product")
     keyed = joins.sales_key_lookup(lines, dim_product, load.read("dim_customer"), load.read("dim_platform"))
     staged = load.scratch(_stamped(dedupe.dedupe_sales(keyed), "loaded_at", at))
-    # A corrected order date moves a sale to another month, so the months of
-    # the stored sales are looked up by key (three columns of the history).
-    known = load.read("fact_sales", [*S.SALES_KEY, "date_key"]).join(staged, S.SALES_KEY, "left_semi")
-    months = sorted({*_months(staged), *_months(known)})
+    # A corrected order date moves a sale to another month: the month of each
+    # stored sale is kept by a hash of its key, so only the batch's parts are looked up.
+    months_of = staged.select(*S.SALES_KEY, month_of().alias("month"))
+    touched = _values(staged, part_of(*S.SALES_KEY))
+    known = load.read(_MONTHS, months=touched)
+    moved = known.join(staged.select(*S.SALES_KEY), S.SALES_KEY, "left_semi")
+    months = sorted({*_values(staged, month_of()), *_values(moved, F.col("month"))})
+    load.replace(_MONTHS, joins.missing_from(known, staged, S.SALES_KEY).unionByName(months_of), touched)
     stored = load.read("fact_sales", months=months)
     set_columns = [f.name for f in S.FACT_SALES if f.name not in ("sales_key", *S.SALES_KEY)]
     updated, new = upsert(stored, staged, S.SALES_KEY, set_columns)
     numbered = load.number("fact_sales", new, S.SALES_KEY)
     columns = [f.name for f in S.FACT_SALES]
-    load.replace("fact_sales", updated.select(*columns).unionByName(numbered.select(*columns)), months)
+    if months:
+        load.at_last("fact_sales", updated.select(*columns).unionByName(numbered.select(*columns)), months, lambda n: None)
     return joins.sales_lines_skipped(lines, dim_product).first()[0]
 
 

@@ -60,13 +60,77 @@ def test_failed_load_publishes_nothing(spark, wh):
     assert wh.head()["version"] == 0 and wh.read("dim_platform").isEmpty()
 
 
-def test_crowded_months_become_one_folder(spark, wh, monkeypatch):
-    monkeypatch.setattr(W, "_MAX_FOLDERS", 2)
-    for n in range(4):
-        W.load_fact_external(wh, products(spark, snap("ebay", str(n), 10)))
-    (folders,) = wh.head()["tables"]["fact_external_product"].values()
-    assert len(folders) <= 2 and wh.read("fact_external_product").count() == 4
-    assert sorted(r[0] for r in wh.read("fact_external_product", ["external_fact_key"]).collect()) == [1, 2, 3, 4]
+def files(wh, table):
+    from pathlib import Path
+
+    return {str(p.relative_to(wh.root)) for p in Path(wh.root, table).rglob("*.parquet")}
+
+
+def test_upsert_rewrites_its_parts_only(spark, wh):
+    from pathlib import Path
+
+    goods = lambda ids, name: spark.createDataFrame(
+        [("internal", str(i), f"{name}{i}", "c", "b", None) for i in ids],
+        "source_system string, source_product_id string, product_name string, category string, brand string, sku string")
+    with wh.publish() as load:
+        W.upsert_dim_product(load, goods(range(300), "old"))
+    before = files(wh, "dim_product")
+    assert len({f.split("/")[1] for f in before}) == W.PARTS
+    ids = [7, 8, 9, 1000]
+    with wh.publish() as load:
+        W.upsert_dim_product(load, goods(ids, "new"))
+    part = {r[0]: r[1] for r in goods(ids, "new").select("source_product_id", W.part_of("source_system", "source_product_id")).collect()}
+    touched = {f"_part={p}" for p in part.values()}
+    assert {f.split("/")[1] for f in before ^ files(wh, "dim_product")} == touched and len(touched) <= 4
+    rows = {r.source_product_id: (r.product_key, r.product_name, r.updated_at is not None) for r in wh.read("dim_product").collect()}
+    assert len(rows) == 301 and sorted(k for k, *_ in rows.values()) == list(range(1, 302))
+    assert all(rows[str(i)][1:] == ((f"new{i}", True) if i in ids else (f"old{i}", False)) for i in range(300))
+    assert not list(Path(wh.root, "scratch").glob("*"))
+
+
+def test_emptied_month_goes(spark, wh):
+    W.load_internal(wh, *shop(spark))
+    assert {f.split("/")[1] for f in files(wh, "fact_sales")} == {"_part=202610"}
+    W.load_internal(wh, *shop(spark, "2026-11-02 09:00:00"))
+    assert {f.split("/")[1] for f in files(wh, "fact_sales")} == {"_part=202611"}
+
+
+def test_moved_sales_are_found_by_key(spark, wh):
+    """The months side table is read in the batch's parts only, the history in the touched months only."""
+    W.load_internal(wh, *shop(spark))
+    with wh.publish() as load:
+        assert W.upsert_fact_sales(load, *shop(spark, "2026-12-01 10:00:00")[2:]) == 1
+        (_, rows, months, *_), = load.last
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert months == [202610, 202612] and "PartitionFilters: [isnotnull(_part" in plan or "_part#" in plan
+        load.last.clear()
+        load.staged.clear()
+        load.changed = False
+    assert [r.date_key for r in wh.read("fact_sales").collect()] == [20261010]
+
+
+def test_batch_is_shuffled_once_before_the_lookups(spark, wh):
+    day = products(spark, *[snap("ebay", str(n), 10) for n in range(50)])
+    with wh.publish() as load:
+        rows = load.bucketed(day, ["platform", "external_product_id"])
+        picked = W.dedupe.dedupe_snapshots(joins.fact_measures(rows, S.SNAPSHOT_KEY))
+        plan = picked._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and picked.count() == 50
+        names = rows.groupBy("platform", "external_product_id").count()
+        assert "Exchange" not in names._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cut_off_load_hands_out_no_key_twice(spark, wh, monkeypatch):
+    W.load_fact_external(wh, products(spark, snap("ebay", "1", 10)))
+    log = W.Warehouse.log
+    monkeypatch.setattr(W.Warehouse, "log", lambda self, v, done, *more: log(self, v, done, *more) if not done else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        W.load_fact_external(wh, products(spark, snap("ebay", "2", 10)))
+    monkeypatch.undo()
+    both = products(spark, snap("ebay", "2", 10), snap("ebay", "3", 10))
+    assert W.load_fact_external(wh, both) == 1
+    assert sorted(r[0] for r in wh.read("fact_external_product", ["external_fact_key"]).collect()) == [1, 2, 3]
+    assert sorted(r[0] for r in wh.read("dim_product", ["product_key"]).collect()) == [1, 2, 3]
 
 
 def test_upsert_refreshes_names(spark, wh):
