@@ -22,7 +22,6 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,12 +101,10 @@ class Warehouse:
         return df if parts is None else df.filter(F.col(_PART).isin(*parts))
 
     def _stored(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
             return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        return self.spark.createDataFrame([], schema)
 
     @contextmanager
     def publish(self, batch: tuple[str, int] | None = None):
