@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -15,14 +17,54 @@ _FACT_COLUMNS = [
 ]
 
 
+# Sort: its column, and whether it runs upwards; rows without a value come last either way.
+_SORTS = {
+    "recent": ("collected_at", False), "price_asc": ("price", True), "price_desc": ("price", False),
+    "rating": ("rating", False), "reviews": ("review_count", False),
+}
+
+
 def _sort_order(sort: str) -> Column:
-    return {
-        "recent": F.col("collected_at").desc_nulls_last(),
-        "price_asc": F.col("price").asc_nulls_last(),
-        "price_desc": F.col("price").desc_nulls_last(),
-        "rating": F.col("rating").desc_nulls_last(),
-        "reviews": F.col("review_count").desc_nulls_last(),
-    }[sort]
+    name, up = _SORTS[sort]
+    return F.col(name).asc_nulls_last() if up else F.col(name).desc_nulls_last()
+
+
+@dataclass
+class Page:
+    """Rows of a page, how many rows match in all, and where the next page starts (None: this is the last)."""
+
+    items: list[Row]
+    total: int
+    next: tuple | None
+
+
+def _behind(sort: str | None, key: str, after: tuple) -> Column:
+    """Rows that come after the one with the cursor's sort value and key."""
+    value, last = after
+    later = F.col(key) > last
+    if sort is None:
+        return later
+    name, up = _SORTS[sort]
+    if value is None:
+        return F.col(name).isNull() & later
+    further = F.col(name) > F.lit(value) if up else F.col(name) < F.lit(value)
+    return F.col(name).isNull() | further | ((F.col(name) == F.lit(value)) & later)
+
+
+def _keyset_page(matched: DataFrame, sort: str | None, key: str, after: tuple | None, size: int) -> Page:
+    """The ``size`` rows behind a cursor, in one pass: matches are counted as they stream by, and tasks keep a page each."""
+    if not 1 <= size <= MAX_PAGE_SIZE:
+        raise ValueError(f"size must be between 1 and {MAX_PAGE_SIZE}")
+    seen = Observation()
+    rows = matched.observe(seen, F.count(F.lit(1)).alias("total"))
+    if after is not None:
+        rows = rows.filter(_behind(sort, key, after))
+    order = [F.col(key).asc()] if sort is None else [_sort_order(sort), F.col(key).asc()]
+    # One row more tells whether there is a next page.
+    found = rows.orderBy(*order).limit(size + 1).collect()
+    items = found[:size]
+    last = (items[-1][_SORTS[sort][0]] if sort else None, items[-1][key]) if len(found) > size else None
+    return Page(items, seen.get["total"], last)
 
 
 def _page(df: DataFrame, order: list[Column], page: int, size: int) -> DataFrame:
@@ -109,6 +151,18 @@ def product_search_page(
     return _page(product_search(wh, **conditions), [_sort_order(sort), F.col("external_fact_key").asc()], page, size)
 
 
+def product_search_after(
+    wh: dict[str, DataFrame], sort: str = "recent", after: tuple | None = None, size: int = 20, **conditions
+) -> Page:
+    """The page behind ``after`` (``Page.next`` of the one before), with the total, from one pass.
+
+    However far one has paged, no task sorts or keeps more than a page: the
+    cursor is a condition on the sort value and the fact key, not a number of
+    rows to skip.
+    """
+    return _keyset_page(product_search(wh, **conditions), sort, "external_fact_key", after, size)
+
+
 def product_search_total(wh: dict[str, DataFrame], **conditions) -> DataFrame:
     return product_search(wh, **conditions).agg(F.count("*").alias("total"))
 
@@ -130,6 +184,11 @@ def catalog_search_page(dim_product: DataFrame, page: int = 1, size: int = 20, *
     return _page(catalog_search_filter(dim_product, **conditions), [F.col("product_key").asc()], page, size)
 
 
+def catalog_search_after(dim_product: DataFrame, after: tuple | None = None, size: int = 20, **conditions) -> Page:
+    """``product_search_after`` for the catalog, in the order of the product key."""
+    return _keyset_page(catalog_search_filter(dim_product, **conditions), None, "product_key", after, size)
+
+
 def catalog_search_total(dim_product: DataFrame, **conditions) -> DataFrame:
     return catalog_search_filter(dim_product, **conditions).agg(F.count("*").alias("total"))
 

@@ -532,9 +532,9 @@ BODIES: dict[str, str] = {
     "keyword_cross_refine": """SELECT * FROM (WITH RECURSIVE refined AS (
         SELECT keyword, 0 AS refinement, 0 AS n FROM words
         UNION ALL SELECT keyword || tail, refinement + bit, n + 1 FROM refined, (SELECT unnest(
-          ['popular', 'ranking', 'new', 'boxed']) AS q, unnest(range(4)) AS k), LATERAL (
+          ['人気', 'ランキング', '送料無料', '新品', '日本製', '大容量', 'コンパクト', '業務用', 'セット', '限定']) AS q, unnest(range(10)) AS k), LATERAL (
           SELECT ' ' || q AS tail, CAST(1 << k AS INT) AS bit UNION ALL SELECT '', 0) WHERE k = n)
-      SELECT keyword, min(refinement) AS refinement FROM refined WHERE n = 4 GROUP BY keyword)""",
+      SELECT keyword, min(refinement) AS refinement FROM refined WHERE n = 10 GROUP BY keyword)""",
     "fk_orphans": """SELECT 'product_key' AS foreign_key, count(*) AS orphans FROM facts
         WHERE product_key NOT IN (SELECT product_key FROM products WHERE category <> 'PROMO')
       UNION ALL SELECT 'platform_key', count(*) FROM facts WHERE platform_key NOT IN (SELECT platform_key FROM platforms)
@@ -650,6 +650,10 @@ BODIES: dict[str, str] = {
       SELECT DISTINCT platform, external_product_id FROM valid)""",
     # search
     "product_search_page": "SELECT * FROM found ORDER BY price DESC NULLS LAST, external_fact_key LIMIT 20 OFFSET 20",
+    "product_search_after": """SELECT *, (SELECT count(*) FROM found) AS total FROM found
+      ORDER BY price DESC NULLS LAST, external_fact_key LIMIT 20 OFFSET 20""",
+    "catalog_search_after": f"""SELECT product_key, source_product_id, product_name, category, brand, count(*) OVER () AS total {_CATALOG}
+      AND (product_name ILIKE '%bolt%' OR source_product_id ILIKE '%bolt%') ORDER BY product_key LIMIT 10 OFFSET 10""",
     "product_search_total": "SELECT count(*) AS total FROM found",
     "catalog_search_page": f"""SELECT product_key, source_product_id, product_name, category, brand {_CATALOG}
       AND (product_name ILIKE '%bolt%' OR source_product_id ILIKE '%bolt%') ORDER BY product_key LIMIT 10 OFFSET 10""",

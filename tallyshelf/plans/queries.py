@@ -638,8 +638,7 @@ def keyword_reconcile(spark, sf):
 
 @query
 def keyword_cross_refine(spark, sf):
-    qualifiers = ["popular", "ranking", "new", "boxed"]
-    return K.keyword_cross_refine(I.part_words(spark, sf), qualifiers).drop("place")
+    return K.keyword_cross_refine(I.part_words(spark, sf)).drop("place")
 
 
 @query
@@ -847,6 +846,29 @@ def product_search_page(spark, sf):
     return search.product_search_page(I.frames(spark, sf), sort="price_desc", page=2, size=20, **SEARCH)
 
 
+def _page_rows(spark, page, schema):
+    """A page of at most 50 rows with its total."""
+    rows = spark.createDataFrame([tuple(r) for r in page.items], schema)
+    return rows.withColumn("total", F.lit(page.total).cast("long"))
+
+
+@query
+def product_search_after(spark, sf):
+    """The second page by cursor, with the total of the same pass."""
+    wh = I.frames(spark, sf)
+    first = search.product_search_after(wh, "price_desc", None, 20, **SEARCH)
+    second = search.product_search_after(wh, "price_desc", first.next, 20, **SEARCH)
+    return _page_rows(spark, second, search.product_search(wh, **SEARCH).schema)
+
+
+@query
+def catalog_search_after(spark, sf):
+    items = I.star(spark, sf).read("dim_product")
+    first = search.catalog_search_after(items, None, 10, q="bolt")
+    second = search.catalog_search_after(items, first.next, 10, q="bolt")
+    return _page_rows(spark, second, search.catalog_search_filter(items, q="bolt").schema)
+
+
 @query
 def product_search_total(spark, sf):
     return search.product_search_total(I.frames(spark, sf), **SEARCH)

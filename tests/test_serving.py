@@ -187,3 +187,31 @@ def test_completion_of_a_keyword(spark, tmp_path, offset, results, total, done):
     stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
     row = jobs.stream_keyword_progress(stream, str(tmp_path / "out"), str(tmp_path / "state"), page_size=100).first()
     assert (row.next_offset, row.completed) == (offset + results, done)
+
+
+@pytest.mark.parametrize("sort", ["recent", "price_asc", "price_desc", "rating", "reviews"])
+def test_cursor_pages_equal_offset_pages(spark, tmp_path, sort):
+    cells = [(None, None, None), (5.0, 3.0, 7), (5.0, None, 7), (9.0, 4.5, None), (1.0, 3.0, 0)]
+    rows = [snap("ebay", str(n), 10 + n % 3, p, rating=r, review_count=c) for n, (p, r, c) in enumerate(cells * 3)]
+    wh = W.Warehouse(spark, str(tmp_path / "wh"))
+    W.load_fact_external(wh, products(spark, *rows))
+    frames = wh.frames()
+    cursor, page = None, 0
+    while page == 0 or cursor:
+        page += 1
+        got = search.product_search_after(frames, sort, cursor, 4)
+        assert got.items == search.product_search_page(frames, sort, page, 4).collect() and got.total == 15
+        cursor = got.next
+    assert page == 4
+    none = search.product_search_after(frames, sort, None, 4, q="no such name")
+    assert (none.items, none.total, none.next) == ([], 0, None)
+
+
+def test_pages_sort_no_more_than_a_page(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(1000).select(F.col("id").alias("external_fact_key"), (F.col("id") % 7).alias("price"))
+    got = search._keyset_page(df, "price_desc", "external_fact_key", (3, 500), 5)
+    assert [(r.price, r.external_fact_key) for r in got.items] == [(3, 507 + 7 * k) for k in range(5)] and got.total == 1000
+    plan = df.filter(search._behind("price_desc", "external_fact_key", (3, 500))).orderBy("price").limit(6)
+    assert "TakeOrderedAndProject" in plan._jdf.queryExecution().executedPlan().toString()
