@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
@@ -24,8 +24,9 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
 
 
 def lean(spark: SparkSession) -> None:
-    """Batches of whole texts go to Python workers in small numbers: a worker keeps the memory its largest batch took."""
+    """What workers and driver would keep: a worker the memory of its largest batch of texts, the driver a text of every plan it ran."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.maxPlanStringLength", "4096")
 
 
 def text_key(text: Column | str) -> Column:
@@ -78,15 +79,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     joined back, so a node with very many links is not gathered in a task. Each
     round is written to the shared folder and starts from there.
     """
-    links = stored(
-        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "links"
-    )
+    lean(edges.sparkSession)
 
-    def state(df: DataFrame) -> tuple:
-        row = df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        return row[0], row[1]
+    def written(df: DataFrame) -> tuple[DataFrame, tuple]:
+        # Seen as the links are written: how many there are, and a sum that tells one list from another.
+        seen = Observation()
+        out = stored(df.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")), "links")
+        return out, (seen.get["n"], seen.get["s"])
 
-    seen, now = None, state(links)
+    links, now = written(
+        edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct())
+    seen = None
     while now != seen:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
@@ -97,6 +100,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v"))
         )
-        links = stored(small.filter("u <> v").distinct(), "links")
-        seen, now = now, state(links)
+        seen = now
+        links, now = written(small.filter("u <> v").distinct())
     return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
