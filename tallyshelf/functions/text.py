@@ -42,6 +42,8 @@ PRODUCT_LIKE = ["product", "item", "detail"]
 REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
+# The references met most, looked for before the full list.
+_COMMON = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": " "}
 _NAMED = {k[:-1]: v.replace("\xa0", " ") for k, v in html.entities.html5.items() if k.endswith(";")}
 
 
@@ -79,7 +81,18 @@ def decode_entities(text: Column) -> Column:
     """
     found = F.array_distinct(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(0)))
     ordered = F.concat(F.filter(found, lambda r: r != "&amp;"), F.filter(found, lambda r: r == "&amp;"))
-    names = F.from_json(F.lit(json.dumps(_NAMED)), "map<string,string>")
+    # Names in groups by their first two letters: a map is searched from its start, so each is kept short.
+    groups: dict[str, dict[str, str]] = {}
+    for name, char in _NAMED.items():
+        groups.setdefault(name[:2], {})[name] = char
+    names = F.from_json(F.lit(json.dumps(groups)), "map<string,map<string,string>>")
+
+    def named(reference: Column) -> Column:
+        name = F.substring_index(F.substring(reference, 2, 40), ";", 1)
+        common = F.lit(None).cast("string")
+        for word, char in _COMMON.items():
+            common = F.when(name == word, char).otherwise(common)
+        return F.coalesce(common, F.try_element_at(F.try_element_at(names, F.substring(name, 1, 2)), name))
 
     def meaning(reference: Column) -> Column:
         hexadecimal = F.lower(F.substring(reference, 3, 1)) == "x"
@@ -88,7 +101,7 @@ def decode_entities(text: Column) -> Column:
         # Code points that no text can hold stay as written.
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(F.substring(reference, 2, 1) != "#", F.try_element_at(names, F.substring_index(F.substring(reference, 2, 40), ";", 1))).when(
+        return F.when(F.substring(reference, 2, 1) != "#", named(reference)).when(
             valid, F.when(code == 160, " ").otherwise(char)
         )
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -135,15 +137,31 @@ def extract_jsonld(pages: DataFrame) -> DataFrame:
 
 
 def redirect_price_candidates(pages: DataFrame, around: int = 1200) -> DataFrame:
-    """First position of each redirect id on a page and the prices within ``around`` characters."""
-    html = F.col("html")
-    ids = F.array_distinct(F.regexp_extract_all(html, F.lit(X.REDIRECT_ID), F.lit(1)))
-    rows = pages.select("page_id", "html", F.explode(ids).alias("redirect_id"))
-    address = F.concat(F.lit("(?i)" + X.REDIRECT_HOST + r"/r/redirect\?id="), F.col("redirect_id"), F.lit(r"(?!\d)"))
-    placed = rows.withColumn("position", F.regexp_instr(html, address) - 1)
-    start = F.greatest(F.lit(0), F.col("position") - around)
-    fragment = F.substring(html, start + 1, F.col("position") + around - start)
-    text = X.collapse_whitespace(X.decode_entities(F.regexp_replace(fragment, r"(?s)<[^>]*>|<[^>]*$", " ")))
+    """First position of each redirect id on a page and the prices within ``around`` characters.
+
+    One pass over a page finds all its addresses in order; only the short
+    fragments leave it, so the work grows with the page, not with page times ids.
+    """
+    address = re.compile("(?i)" + X.REDIRECT_HOST + X.REDIRECT_ID.removeprefix("(?i)"), re.ASCII)
+
+    def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for page_id, html in zip(batch.column("page_id"), batch.column("html")):
+                html = html.as_py() or ""
+                first: dict[str, int] = {}
+                for found in address.finditer(html):
+                    first.setdefault(found[1], found.start())
+                if first:
+                    at = list(first.values())
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([page_id.as_py()] * len(at), batch.schema.field("page_id").type), pa.array(list(first)),
+                        pa.array(at, pa.int32()), pa.array([html[max(0, n - around):n + around] for n in at]),
+                    ], ["page_id", "redirect_id", "position", "fragment"])
+
+    key = pages.schema["page_id"].dataType.simpleString()
+    placed = pages.select("page_id", "html").mapInArrow(
+        fragments, f"page_id {key}, redirect_id string, position int, fragment string")
+    text = X.collapse_whitespace(X.decode_entities(F.regexp_replace("fragment", r"(?s)<[^>]*>|<[^>]*$", " ")))
     return placed.withColumn("nearby_text", text).select(
         "page_id", "redirect_id", "position",
         F.regexp_extract_all("nearby_text", F.lit(X.THAI_PRICE), F.lit(0)).cast("array<string>").alias("nearby_prices"),

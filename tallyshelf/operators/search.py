@@ -105,10 +105,12 @@ def product_search_filter(
 
 def product_search(
     wh: dict[str, DataFrame], q: str | None = None, platforms: list[str] | None = None, currency: str | None = None,
-    min_price: float | None = None, max_price: float | None = None,
+    min_price: float | None = None, max_price: float | None = None, some_products: bool = False,
 ) -> DataFrame:
     """Latest fact per product and platform that matches, without order.
 
+    ``some_products``: ``wh["dim_product"]`` holds only the products wanted.
+
     Text and platform conditions concern the whole product-platform group, so
     they run before the newest fact is picked and cut the facts to shuffle.
     Currency and price belong to the newest fact itself and are tested after.
@@ -123,7 +125,7 @@ def product_search(
         wh["fact_external_product"].select(*_FACT_COLUMNS)
         .join(names.select("platform_key"), "platform_key", "left_semi")
     )
-    if q is not None:
+    if q is not None or some_products:
         facts = facts.join(products.select("product_key"), "product_key", "left_semi")
     latest = product_search_filter_latest(latest_fact_per_product(facts), currency, min_price, max_price)
     joined = (

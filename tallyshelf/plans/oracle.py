@@ -654,6 +654,9 @@ BODIES: dict[str, str] = {
       ORDER BY price DESC NULLS LAST, external_fact_key LIMIT 20 OFFSET 20""",
     "catalog_search_after": f"""SELECT product_key, source_product_id, product_name, category, brand, count(*) OVER () AS total {_CATALOG}
       AND (product_name ILIKE '%bolt%' OR source_product_id ILIKE '%bolt%') ORDER BY product_key LIMIT 10 OFFSET 10""",
+    "product_search_by_postings": "SELECT * FROM found",
+    "catalog_search_by_postings": f"""SELECT product_key, source_product_id, product_name, category, brand {_CATALOG}
+      AND (product_name ILIKE '%bolt%' OR source_product_id ILIKE '%bolt%') AND category = 'SMALL'""",
     "product_search_total": "SELECT count(*) AS total FROM found",
     "catalog_search_page": f"""SELECT product_key, source_product_id, product_name, category, brand {_CATALOG}
       AND (product_name ILIKE '%bolt%' OR source_product_id ILIKE '%bolt%') ORDER BY product_key LIMIT 10 OFFSET 10""",

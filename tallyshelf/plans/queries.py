@@ -15,8 +15,8 @@ from ..operators import (
 )
 from ..session import pin_session, shared_dir
 from ..sources import readers, writers
-from ..streaming import jobs
-from . import inputs as I
+from ..streaming import jobs, tables
+from . import inputs as I, postings
 from . import warehouse as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +25,7 @@ QUERIES: dict[str, Query] = {}
 # Parameters of the search queries.
 SEARCH = {"q": "ring", "platforms": ["ebay", "etsy", "advice_th"], "min_price": 500.0, "max_price": 90000.0}
 CATALOG_SEARCH = {"q": "bolt", "category": "SMALL"}
-# Files, and so micro-batches, of a stream query.
+# Micro-batches of a stream query, at least; its input's files grow in number with the shuffle partitions.
 BATCHES = 3
 # Marker words that fit the test vocabulary.
 SNAPSHOT_CELLS = ["platform", "external_product_id", "product_name", "currency", "price", "observation_date"]
@@ -869,6 +869,27 @@ def catalog_search_after(spark, sf):
     return _page_rows(spark, second, search.catalog_search_filter(items, q="bolt").schema)
 
 
+def _postings(spark, sf):
+    """Postings of the loaded products, written once per application like the tables they belong to."""
+    wh = I.star(spark, sf)
+    path = f"{wh.root}/search/postings"
+    if not tables.exists(spark, f"{path}/_SUCCESS"):
+        postings.write_postings(wh, path)
+    return wh, postings.read_postings(spark, path)
+
+
+@query
+def product_search_by_postings(spark, sf):
+    """The search of ``product_search_total``, its rows, with the pattern met by postings."""
+    conditions = {k: v for k, v in SEARCH.items() if k != "q"}
+    return postings.product_search(*_postings(spark, sf), SEARCH["q"], **conditions)
+
+
+@query
+def catalog_search_by_postings(spark, sf):
+    return postings.catalog_search(*_postings(spark, sf), **CATALOG_SEARCH)
+
+
 @query
 def product_search_total(spark, sf):
     return search.product_search_total(I.frames(spark, sf), **SEARCH)
@@ -1142,6 +1163,13 @@ def incremental_snapshot_ingest(spark, sf):
     return A.platform_counts(spark.read.parquet(f"{root}/out"))
 
 
+def _file_stream(spark, rows, root, *keys):
+    """``rows`` in many files, dealt by ``keys``, as a stream of ``BATCHES`` micro-batches."""
+    files = max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.repartition(files, *keys).write.parquet(f"{root}/in")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(f"{root}/in")
+
+
 def _page_stream(spark, sf, name):
     """Listing pages as a file stream."""
     root = _work_dir(spark, sf, name)
@@ -1149,14 +1177,13 @@ def _page_stream(spark, sf, name):
         F.concat_ws("/", "source", "listing_id").alias("listing_id"), "page", "position",
         C.to_utc_naive(F.col("collected_at")).alias("collected_at"),
     )
-    items.repartition(BATCHES).write.parquet(f"{root}/in")
-    return root, spark.readStream.schema(items.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    return root, _file_stream(spark, items, root)
 
 
 @query
 def stream_first_seen_dedup(spark, sf):
     root, stream = _page_stream(spark, sf, "seen")
-    jobs.stream_first_seen_dedup(stream, "listing_id", f"{root}/out", f"{root}/state")
+    jobs.stream_first_seen_dedup(stream, "listing_id", f"{root}/out", f"{root}/state", order=["collected_at", "page", "position"])
     return spark.read.parquet(f"{root}/out").select("listing_id")
 
 
@@ -1170,8 +1197,7 @@ def stream_idempotent_page_sink(spark, sf):
 def _event_stream(spark, sf, root):
     """Events in several micro-batches, days in no order: every batch brings late rows of days seen before."""
     events = I.table(spark, sf, "events")
-    events.repartition(BATCHES, "event_id").write.parquet(f"{root}/in")
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    return _file_stream(spark, events, root, "event_id")
 
 
 @query
@@ -1193,7 +1219,7 @@ def stream_daily_metrics(spark, sf):
         "cast(ts AS timestamp) AS recorded_at", "cast(get_json_object(props, '$.k') AS bigint) AS http_attempts",
         "CASE WHEN event_type = 'error' THEN 1L ELSE 0L END AS http_429",
     )
-    return jobs.stream_daily_metrics(metrics, f"{root}/out", f"{root}/state")
+    return jobs.stream_daily_metrics(metrics, f"{root}/out", f"{root}/state").select("day", "http_attempts", "http_429")
 
 
 @query
@@ -1201,9 +1227,10 @@ def stream_fact_upsert(spark, sf):
     """Older snapshots, then all of them, as micro-batches through the upserting load."""
     root = _work_dir(spark, sf, "facts-stream")
     daily = I.processed_snapshots(spark, sf)
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     for rows in (_older(daily), daily):
-        rows.repartition(2, "platform").write.mode("append").parquet(f"{root}/in")
-    stream = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        rows.repartition(files, "platform", "external_product_id").write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(daily.schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
     wh = W.Warehouse(spark, f"{root}/wh")
     jobs.stream_fact_load(stream, wh, f"{root}/state", "facts", policy="upsert")
     return _loaded_facts(wh)

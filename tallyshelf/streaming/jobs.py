@@ -7,12 +7,16 @@ the shared file system.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import dedupe
 from ..operators.standardize import filter_valid_core, standardize
 from ..plans import warehouse as W
+from . import tables
 
 
 def _run(writer) -> None:
@@ -27,17 +31,25 @@ def incremental_snapshot_ingest(spark: SparkSession, source: str, out: str, chec
 
 
 def stream_first_seen_dedup(
-    stream: DataFrame, key: str, out: str, checkpoint: str, event_time: str | None = None, horizon: str = "7 days"
+    stream: DataFrame, key: str, out: str, checkpoint: str, event_time: str | None = None, horizon: str = "7 days",
+    order: list[str] | None = None,
 ) -> None:
     """Items whose id no earlier page had; with ``event_time`` in bounded-state mode: an id older than ``horizon`` may come again.
 
-    Without it, the default, every id ever seen stays in the state store.
+    Without it, the default, the ids seen are those stored in ``out``, which
+    lies in parts by a hash of the id: a batch picks its first row of each id
+    (by ``order``, then by all columns) and adds those not stored. No state is
+    kept between batches, so memory does not grow with the ids ever seen.
     """
     if event_time:
         first = stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
-    else:
-        first = stream.dropDuplicates([key])
-    _run(first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+        _run(first.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+        return
+
+    def store(batch: DataFrame, n: int) -> None:
+        tables.append_new(dedupe.pick_first(batch, [key], [F.col(c).asc_nulls_last() for c in order or []]), out, key)
+
+    _run(stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint))
 
 
 def write_batch(batch: DataFrame, batch_id: int, out: str) -> None:
@@ -53,11 +65,6 @@ def stream_idempotent_page_sink(stream: DataFrame, out: str, checkpoint: str) ->
     )
 
 
-def _latest_per_key(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """Newest version of each updated row over all batches."""
-    return dedupe.pick_first(spark.read.parquet(out), keys, [F.col("batch_id").desc()], ties=False).drop("batch_id")
-
-
 # Fixed value: the search serves no offset beyond it.
 LAST_OFFSET = 12_000
 
@@ -70,40 +77,67 @@ def stream_keyword_progress(
     ``pages`` holds (keyword, offset, results, total, fetched_at, event_id). The
     next offset lies behind the newest page's results. A keyword is done with an
     empty or short page, past ``last_offset``, or when its total is reached.
+
+    ``out`` holds one row per keyword, that of its newest page; a batch
+    overwrites the parts its keywords lie in. Reading the result takes as long as
+    there are keywords, however many batches came, and a page that comes again
+    changes nothing.
     """
     next_offset = F.col("offset") + F.col("results")
     done = (
         (F.col("results") == 0) | (F.col("results") < page_size) | (next_offset > last_offset)
         | F.coalesce(next_offset >= F.col("total"), F.lit(False))
     )
-    newest = F.struct("fetched_at", "event_id")
-    state = pages.groupBy("keyword").agg(
-        F.max_by(next_offset, newest).alias("next_offset"), F.max_by(done, newest).alias("completed"),
-        F.max("fetched_at").alias("updated_at"),
+    rows = pages.select(
+        "keyword", next_offset.alias("next_offset"), done.alias("completed"), F.col("fetched_at").alias("updated_at"), "event_id"
     )
-    _run(
-        state.writeStream.outputMode("update").foreachBatch(lambda batch, n: write_batch(batch, n, out))
-        .option("checkpointLocation", checkpoint)
-    )
-    return _latest_per_key(pages.sparkSession, out, ["keyword"])
+    newest = F.struct("updated_at", "event_id")
+
+    def latest(found: DataFrame) -> DataFrame:
+        return found.groupBy("keyword", *[c for c in found.columns if c == tables.PART]).agg(F.max_by(
+            F.struct("next_offset", "completed", "updated_at", "event_id"), newest).alias("_page")).select(
+            *[c for c in found.columns if c == tables.PART], "keyword", "_page.*")
+
+    def store(batch: DataFrame, n: int) -> None:
+        tables.merge_batch(latest(batch), n, out, f"{checkpoint}/ahead", "keyword", latest)
 
+    _run(rows.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint))
+    return tables.current(pages.sparkSession, out, rows.schema).drop(tables.PART, "event_id")
 
-def _per_day(rows: DataFrame, day: Column) -> DataFrame:
-    sums = [F.sum(c).alias(c) for c in ("http_attempts", "http_429")]
-    return rows.groupBy(day.alias("day")).agg(*sums)
 
+_METRICS = "day date, http_attempts bigint, http_429 bigint, late_rows bigint, newest timestamp"
 
-def stream_daily_metrics(metrics: DataFrame, out: str, checkpoint: str) -> DataFrame:
+
+def stream_daily_metrics(metrics: DataFrame, out: str, checkpoint: str, delay: str = "2 days") -> DataFrame:
     """Attempts and refused requests per UTC day, however late a row comes.
 
-    Each batch stores its own sums, one row per day, under its number, so a
-    replay does not count twice and no state is kept; a day is the sum over batches.
+    ``out`` holds one row per day. A day is closed once its end lies ``delay``
+    behind the newest row seen; rows that come after that are merged into it
+    like any other and counted in ``late_rows`` besides. The watermark lies in
+    the table (``newest``), not in the state store, so no row is ever dropped.
+    Each batch is merged once, also when it is replayed.
     """
+    spark = metrics.sparkSession
+    schema = T._parse_datatype_string(_METRICS)
+    sums = [F.sum(c).alias(c) for c in ("http_attempts", "http_429", "late_rows")]
+
+    def closing_line() -> datetime | None:
+        return tables.current(spark, out, schema).agg(F.max("newest") - F.expr(f"INTERVAL {delay}")).first()[0]
+
+    def add_up(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("day", tables.PART).agg(*sums, F.max("newest").alias("newest"))
+
     def store(batch: DataFrame, n: int) -> None:
-        write_batch(_per_day(batch, F.to_date("recorded_at")), n, out)
+        late = F.coalesce(F.date_add(F.to_date("recorded_at"), 1) <= F.lit(closing_line()).cast("timestamp"), F.lit(False))
+        per_day = batch.groupBy(F.to_date("recorded_at").alias("day")).agg(
+            F.sum("http_attempts").alias("http_attempts"), F.sum("http_429").alias("http_429"),
+            F.sum(late.cast("bigint")).alias("late_rows"), F.max("recorded_at").alias("newest"),
+        )
+        tables.merge_batch(per_day, n, out, f"{checkpoint}/ahead", "day", add_up)
 
     _run(metrics.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint))
-    return _per_day(metrics.sparkSession.read.parquet(out), F.col("day"))
+    days = tables.current(spark, out, schema).drop(tables.PART)
+    return days.withColumn("closed", F.date_add("day", 1) <= F.lit(closing_line()).cast("timestamp"))
 
 
 def stream_fact_load(
