@@ -24,9 +24,14 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex", "format"]
 # What may be a credential by its format, whole or between separators; the shortest value that assign labels.
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]+")
-_PIECE = re.compile(r"[^=/.]+")
 SHORTEST = 6
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
+_PIECE = re.compile(r"[^=/.]+")
+# One of these stands in every match of assign, in either case.
+_NAMES = ["passw", "secret", "token", "key"]
+# Runs remembered as holding no credential, and the longest of them: at most about 20 MB a task.
+REMEMBERED = 100_000
+REMEMBERED_LENGTH = 64
 _CLASSES = str.maketrans(
     "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", "0" * 10 + "a" * 6 + "g" * 20 + "A" * 6 + "G" * 20
 )
@@ -39,11 +44,22 @@ LABELLED_LENGTH = 256
 Span = tuple[str, int, int]
 
 
-def base_spans(text: str) -> list[Span]:
-    """Matches of the fixed patterns: leftmost, not overlapping within a kind, of the least length; in code points."""
-    found = [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
-    found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
-    found += [("hex", *m.span()) for m in _HEX.finditer(text)]
+def base_spans(text: str, runs: list[str] | None = None) -> list[Span]:
+    """Matches of the fixed patterns: leftmost, not overlapping within a kind, of the least length; in code points.
+
+    What a match must hold is looked for first, as most texts hold none of it.
+    ``runs``: all candidate runs of the text, if they are known.
+    """
+    found: list[Span] = []
+    if "=" in text or ":" in text:
+        low = text.lower()
+        if any(name in low for name in _NAMES):
+            found += [("assign", *m.span()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 6]
+    if "AKIA" in text:
+        found += [("access", *m.span()) for m in _ACCESS.finditer(text)]
+    # Hexadecimal digits in a row are part of a candidate run at least as long.
+    if runs is None or max(map(len, runs), default=0) >= 24:
+        found += [("hex", *m.span()) for m in _HEX.finditer(text)]
     return found
 
 
@@ -66,8 +82,6 @@ def _runs(text: str, base: list[Span]) -> Iterator[tuple[int, int, list[tuple[in
     at = 0
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        if b - a < SHORTEST:
-            continue
         while at < len(taken) and taken[at][1] <= a:
             at += 1
         left, start = [], a
@@ -97,6 +111,7 @@ class Formats:
         self.least_bits = least_bits
         self.shortest = min((len(f) for e in examples.values() for f in e), default=SHORTEST)
         self.known: dict[str, bool] = {}
+        self.plain: set[str] = set()
         after = Counter()
         for pair, n in pairs.items():
             after[pair[0]] += n
@@ -127,23 +142,47 @@ class Formats:
                     return True
         return False
 
-    def found(self, text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
-        """Accepted runs, else what is accepted of them: rests beside base spans, values behind a name, pieces."""
+    def found(self, text: str, base: list[Span], runs: list[str] | None = None) -> Iterator[tuple[int, int]]:
+        """Accepted runs, else what is accepted of them: rests beside base spans, values behind a name, pieces.
+
+        What a run holds that no base span touches depends on the run alone, so
+        runs that hold nothing are remembered. ``runs``: all runs of the text.
+        """
+        if not base and runs is not None and self.plain.issuperset(runs):
+            return
         for a, b, left in _runs(text, base):
-            if left and self.accepts(text[a:b]):
-                yield a, b
+            run = text[a:b] if left == [(a, b)] else None
+            if run in self.plain:
                 continue
-            for x, y in left:
-                if (x, y) != (a, b) and self.accepts(text[x:y]):
-                    yield x, y
-                    continue
-                value = text.find("=", x, y) + 1
-                if value and self.accepts(text[value:y]):
-                    yield value, y
-                    y = value
-                for m in _PIECE.finditer(text, x, y):
-                    if m.span() != (a, b) and self.accepts(m[0]):
-                        yield m.span()
+            inside = list(self._inside(text, a, b, left))
+            if run and not inside and len(run) <= REMEMBERED_LENGTH:
+                if len(self.plain) >= REMEMBERED:
+                    self.plain.clear()
+                self.plain.add(run)
+            yield from inside
+
+    def _inside(self, text: str, a: int, b: int, left: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+        if left and self.accepts(text[a:b]):
+            yield a, b
+            return
+        for x, y in left:
+            if (x, y) != (a, b) and self.accepts(text[x:y]):
+                yield x, y
+                continue
+            value = text.find("=", x, y) + 1
+            if value and self.accepts(text[value:y]):
+                yield value, y
+                y = value
+            for m in _PIECE.finditer(text, x, y):
+                if m.span() != (a, b) and self.accepts(m[0]):
+                    yield m.span()
+
+
+def _formats_of(tokens: Counter, forms: Counter) -> None:
+    """Count distinct tokens under their formats, and empty their list."""
+    for token, n in tokens.items():
+        forms[token.translate(_CLASSES)] += n
+    tokens.clear()
 
 
 def infer_formats(
@@ -160,15 +199,19 @@ def infer_formats(
         for batch in batches:
             forms: Counter = Counter()
             ordinary: Counter = Counter()
+            tokens: Counter = Counter()
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                base = base_spans(text)
+                runs = _CANDIDATE.findall(text)
+                base = base_spans(text, runs)
                 for kind, a, b in base:
                     value = text[a:b] if kind != "assign" else _ASSIGN.match(text, a)[2]
                     if len(value) <= labelled_length:
                         forms[kind, value.translate(_CLASSES)] += 1
-                for a, b in _others(text, base):
-                    ordinary[text[a:b].translate(_CLASSES)] += 1
+                tokens.update([text[a:b] for a, b in _others(text, base)] if base else runs)
+                if len(tokens) >= REMEMBERED:
+                    _formats_of(tokens, ordinary)
+            _formats_of(tokens, ordinary)
             for form, n in ordinary.items():
                 for x, y in zip("^" + form, form + "$"):
                     forms["pair", x + y] += n
@@ -190,8 +233,9 @@ def infer_formats(
 
 
 def spans_of(text: str, formats: Formats) -> tuple[list[Span], list[Span]]:
-    base = base_spans(text)
-    return base, base + [("format", a, b) for a, b in formats.found(text, base)]
+    runs = _CANDIDATE.findall(text)
+    base = base_spans(text, runs)
+    return base, base + [("format", a, b) for a, b in formats.found(text, base, runs)]
 
 
 def scan(docs: DataFrame, formats: Formats) -> DataFrame:

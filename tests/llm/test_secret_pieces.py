@@ -32,3 +32,24 @@ def test_rest_beside_a_base_span():
     assert [(a, b, left) for a, b, left in secret_scan._runs(text, base)] == [(0, 36, [(0, 4), (28, 36)])]
     formats = secret_scan.Formats({"assign": {"GGGG0000": 500}}, {"^g": 500, "gg": 3000, "g$": 500}, 16.0)
     assert secret_scan.spans_of(text, formats)[1] == [("hex", 4, 28), ("format", 28, 36)]
+
+
+def test_remembered_runs_change_nothing(monkeypatch):
+    rng = random.Random(9)
+    key = lambda n: "".join(rng.choice("ABCDEFGHabcdefgh0123456789") for _ in range(n))
+    pool = ["plainword", "another/plain.word", "x=y", "PassWord=", "tokens:", "key: ", "AKIA", "AKIA" + "Q7" * 9, "0a1b" * 6, "0a1b" * 5, "\u212aey="]
+    pool += [key(n) for n in (5, 6, 12, 32)] + ["name=" + key(32), "a/" + key(12) + ".b", "ghp_" + "0a1b" * 7 + "XYZ9" + key(12)]
+    texts = ["".join(rng.choice(pool) + rng.choice([" ", "", "\n", ", "]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    examples = {"assign": Counter(key(n).translate(secret_scan._CLASSES) for _ in range(400) for n in (12, 32))}
+    fresh = lambda: secret_scan.Formats(examples, {"^g": 500, "gg": 3000, "g$": 500}, 16.0)
+    for bound in (secret_scan.REMEMBERED, 3):
+        monkeypatch.setattr(secret_scan, "REMEMBERED", bound)
+        kept, judge, some = fresh(), fresh(), 0
+        for text in texts:
+            base = [("assign", *m.span()) for m in secret_scan._ASSIGN.finditer(text) if len(m[2]) >= 6]
+            base += [("access", *m.span()) for m in secret_scan._ACCESS.finditer(text)]
+            base += [("hex", *m.span()) for m in secret_scan._HEX.finditer(text)]
+            want = [span for run in secret_scan._runs(text, base) for span in judge._inside(text, *run)]
+            some += len(want)
+            assert secret_scan.spans_of(text, kept) == (base, base + [("format", a, b) for a, b in want])
+        assert some > 100 and len(kept.plain) <= bound
