@@ -148,18 +148,22 @@ class Formats:
         What a run holds that no base span touches depends on the run alone, so
         runs that hold nothing are remembered. ``runs``: all runs of the text.
         """
-        if not base and runs is not None and self.plain.issuperset(runs):
+        if not base and runs is not None and not any([self._holds(run) for run in set(runs) - self.plain]):
             return
         for a, b, left in _runs(text, base):
             run = text[a:b] if left == [(a, b)] else None
             if run in self.plain:
                 continue
-            inside = list(self._inside(text, a, b, left))
-            if run and not inside and len(run) <= REMEMBERED_LENGTH:
-                if len(self.plain) >= REMEMBERED:
-                    self.plain.clear()
-                self.plain.add(run)
-            yield from inside
+            yield from self._inside(text, a, b, left)
+
+    def _holds(self, run: str) -> bool:
+        if any(self._inside(run, 0, len(run), [(0, len(run))])):
+            return True
+        if len(run) <= REMEMBERED_LENGTH:
+            if len(self.plain) >= REMEMBERED:
+                self.plain.clear()
+            self.plain.add(run)
+        return False
 
     def _inside(self, text: str, a: int, b: int, left: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         if left and self.accepts(text[a:b]):
