@@ -9,8 +9,8 @@ import re
 
 import numpy as np
 
-# Remembered chunks: at most so many, none longer than so many characters (about 20 MB a worker and dictionary).
-MEMO_ENTRIES = 80_000
+# Remembered chunks: at most twice so many, none longer than so many characters (about 60 MB a worker and dictionary).
+MEMO_ENTRIES = 150_000
 MEMO_CHARS = 48
 # Runs of white space from this length on don't go through the pattern, which would go back over them step by step.
 LONG_WHITE = 1_000
@@ -24,17 +24,24 @@ class _Odd(Exception):
 
 
 class _Chunks(dict):
-    """Ids of chunks between single spaces, as bytes; worked out on first sight."""
+    """Ids of chunks between single spaces, as bytes; worked out on first sight.
+
+    When it is full it becomes the older half: what is met again moves back, so common chunks are never forgotten.
+    """
 
     def __init__(self, encode, prefix: str):
         self.encode, self.prefix = encode, prefix
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Odd
-        ids = np.array(self.encode(self.prefix + chunk), "<u4").tobytes()
+        ids = self.older.get(chunk)
+        if ids is None:
+            ids = np.array(self.encode(self.prefix + chunk), "<u4").tobytes()
         if len(chunk) <= MEMO_CHARS:
             if len(self) >= MEMO_ENTRIES:
+                self.older = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
