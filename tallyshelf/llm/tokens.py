@@ -9,8 +9,8 @@ import re
 
 import numpy as np
 
-# Remembered chunks: at most twice so many, none longer than so many characters (about 60 MB a worker and dictionary).
-MEMO_ENTRIES = 150_000
+# Remembered chunks: at most twice so many, none longer than so many characters (about 100 MB a worker and dictionary).
+MEMO_ENTRIES = 250_000
 MEMO_CHARS = 48
 # Runs of white space from this length on don't go through the pattern, which would go back over them step by step.
 LONG_WHITE = 1_000
