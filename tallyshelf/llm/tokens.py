@@ -9,9 +9,6 @@ import re
 
 import numpy as np
 
-# Remembered chunks: at most twice so many, none longer than so many characters (about 100 MB a worker and dictionary).
-MEMO_ENTRIES = 250_000
-MEMO_CHARS = 48
 # Runs of white space from this length on don't go through the pattern, which would go back over them step by step.
 LONG_WHITE = 1_000
 # Fixed value: the characters that the pattern's white space stands for.
@@ -19,42 +16,12 @@ _WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _LONG_WHITE = re.compile(_WHITE + "{%d,}" % LONG_WHITE)
 
 
-class _Odd(Exception):
-    """The text has white space that can't be cut at single spaces."""
-
-
-class _Chunks(dict):
-    """Ids of chunks between single spaces, as bytes; worked out on first sight.
-
-    When it is full it becomes the older half: what is met again moves back, so common chunks are never forgotten.
-    """
-
-    def __init__(self, encode, prefix: str):
-        self.encode, self.prefix = encode, prefix
-        self.older: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
-            raise _Odd
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = np.array(self.encode(self.prefix + chunk), "<u4").tobytes()
-        if len(chunk) <= MEMO_CHARS:
-            if len(self) >= MEMO_ENTRIES:
-                self.older = dict(self)
-                self.clear()
-            self[chunk] = ids
-        return ids
-
-
 class ByteLevelIds:
     """Ids of a byte-level BPE file, as ``tokenizers`` gives them.
 
-    Its pattern starts a new piece at every single space between two characters
-    that are not white space. Such chunks never merge, so natural text is a list
-    of memorised chunks; other texts are encoded whole. The merges run in
-    ``tiktoken`` with the ranks read from the same file, whose ids are in merge
-    order (checked), which gives the same ids several times as fast.
+    The merges run in ``tiktoken`` with the ranks read from the same file, whose
+    ids are in merge order (checked), which gives the same ids several times as
+    fast. Whole texts go through it, so a worker remembers nothing between them.
     """
 
     def __init__(self, spec: dict):
@@ -70,27 +37,20 @@ class ByteLevelIds:
         white = tiktoken.Encoding("white", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
         self.bpe, self.white, self.special = bpe, white.encode_ordinary, special
         self.specials = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.first, self.later = _Chunks(self.encode, ""), _Chunks(self.encode, " ")
 
     def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if not text:
-            return b""
-        chunks = text.split(" ")
-        try:
-            return self.first[chunks[0]] + b"".join(map(self.later.__getitem__, chunks[1:]))
-        except _Odd:
-            return np.array(self.encode(text), "<u4").tobytes()
-
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text; specials inside are their own ids, the library's default.
-
-        Long runs of white space are cut out where the pattern cuts: a run is
-        one piece but for its last character, which goes on to what follows; at
-        the end of a stretch between specials the whole run is one piece.
-        """
+        """Little-endian unsigned 32-bit ids; specials inside a text are their own ids, the library's default."""
         if len(text) < LONG_WHITE or not _LONG_WHITE.search(text):
-            return self.bpe.encode(text, allowed_special="all")
+            return self.bpe.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        return np.array(self._cut_at_runs(text), "<u4").tobytes()
+
+    def _cut_at_runs(self, text: str) -> list[int]:
+        """Ids of a text with long runs of white space, which are cut out where the pattern cuts.
+
+        A run is one piece but for its last character, which goes on to what
+        follows; at the end of a stretch between specials the whole run is one
+        piece.
+        """
         found: list[int] = []
         for part in self.specials.split(text) if self.specials else [text]:
             if part in self.special:

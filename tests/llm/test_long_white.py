@@ -29,20 +29,3 @@ def test_two_million_characters(library, char):
 ])
 def test_cuts_at_runs(library, text):
     assert np.frombuffer(tokens.load(PATH).ids(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
-
-
-def test_forgotten_chunks_give_the_same_ids(monkeypatch):
-    import random
-
-    from tallyshelf.llm import tokens
-
-    words = [f"w{n} x" for n in range(40)]
-    rng = random.Random(5)
-    texts = [" ".join(rng.choices(words, k=30)) for _ in range(50)]
-    path = tokens.public_file("byte_bpe_50k.json")
-    want = [tokens.load(path).ids(t) for t in texts]
-    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 7)
-    monkeypatch.setattr(tokens, "_LOADED", {})
-    small = tokens.load(path)
-    assert [small.ids(t) for t in texts] == want
-    assert len(small.later) <= 7 and len(small.later.older) <= 7

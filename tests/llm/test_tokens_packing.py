@@ -57,14 +57,6 @@ def test_special_strings_and_edges(text):
     assert quick(text) == plain(text)
 
 
-def test_memory_is_bounded(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO_ENTRIES", 5)
-    encoder = tokens._Chunks(lambda t: plain(t), " ")
-    for i in range(40):
-        assert np.frombuffer(encoder[f"w{i}"], "<u4").tolist() == plain(f" w{i}")
-        assert len(encoder) <= 5
-
-
 def test_counts(spark):
     rows = awkward() + real()
     df = docs(spark, rows)
