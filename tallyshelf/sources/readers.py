@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,13 +42,42 @@ def read_available_sources(spark: SparkSession, paths: dict[str, str]) -> DataFr
     return union_marketplaces(frames)
 
 
+def _file_schema(path: str) -> str | None:
+    """The schema text in a Parquet file's footer; None where pyarrow can't open the path's store here."""
+    scheme, _, rest = path.partition(":")
+    if scheme == "file":
+        store, name = fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    else:
+        try:
+            store, name = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+        except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+            return None
+    with store.open_input_file(name) as source:
+        # The first line names the Python object, not the schema.
+        return str(pq.ParquetFile(source).schema).partition("\n")[2]
+
+
 def _schema_groups(spark: SparkSession, path: str) -> list[DataFrame]:
-    """One frame per distinct file schema below ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    """One frame per distinct file schema below ``path``.
+
+    Footers are read in tasks over the listed files, so the driver starts one
+    scan per schema, not per file. Only files in a store that pyarrow can't
+    open have their schema read by Spark, one by one. The driver holds the file
+    names, as it does for any listing.
+    """
+
+    def schemas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [_file_schema(p) for p in batch.column("path").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), pa.array(texts, pa.string())], ["path", "layout"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(path)
+    layouts = files.select("path").mapInArrow(schemas, "path string, layout string")
     groups: dict[str, list[str]] = {}
-    for row in files.filter(F.col("path").endswith(".parquet")).orderBy("path").toLocalIterator():
-        groups.setdefault(spark.read.parquet(row.path).schema.json(), []).append(row.path)
-    return [spark.read.parquet(*names) for names in groups.values()]
+    for row in layouts.collect():
+        layout = row.layout or spark.read.parquet(row.path).schema.json()
+        groups.setdefault(layout, []).append(row.path)
+    return [spark.read.parquet(*sorted(groups[g])) for g in sorted(groups)]
 
 
 def read_heterogeneous_snapshots(spark: SparkSession, path: str, platform: str) -> DataFrame:
