@@ -220,3 +220,28 @@ def test_orphans_and_constraints(spark):
     fact = spark.createDataFrame([(1, 1), (2, 9)], "product_key int, date_key int")
     dims = {"product_key": spark.createDataFrame([(1,)], "product_key int"), "date_key": spark.createDataFrame([(1,), (9,)], "date_key int")}
     assert {r.foreign_key: r.orphans for r in joins.fk_orphans(fact, dims).collect()} == {"product_key": 1, "date_key": 0}
+
+
+def test_shuffles_are_sized_by_the_input(spark, tmp_path):
+    # Partitions follow the size of the input, whatever the session's fixed number says.
+    from tallyshelf import session
+
+    kept = spark.conf.get(session._INITIAL, None)
+    try:
+        for n in (1, 9):
+            folder = tmp_path / f"t{n}"
+            folder.mkdir()
+            (folder / "part").write_bytes(bytes(n * session.INPUT_A_PARTITION))
+            session.size_shuffles(spark, str(folder))
+            assert session.partitions(spark) == max(int(spark.conf.get("spark.sql.shuffle.partitions")), n)
+    finally:
+        spark.conf.unset(session._INITIAL) if kept is None else spark.conf.set(session._INITIAL, kept)
+
+
+def test_first_load_shuffles_nothing_for_missing_tables(spark, tmp_path):
+    from tallyshelf.operators import joins
+    from tallyshelf.plans.warehouse import Warehouse
+
+    rows = spark.range(5).selectExpr("cast(id AS int) AS date_key", "id AS product_key", "cast(id AS int) AS platform_key")
+    new = joins.new_facts(rows, Warehouse(spark, str(tmp_path / "none")).read("fact_external_product"))
+    assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString() and new.count() == 5
