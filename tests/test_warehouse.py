@@ -245,3 +245,59 @@ def test_first_load_shuffles_nothing_for_missing_tables(spark, tmp_path):
     rows = spark.range(5).selectExpr("cast(id AS int) AS date_key", "id AS product_key", "cast(id AS int) AS platform_key")
     new = joins.new_facts(rows, Warehouse(spark, str(tmp_path / "none")).read("fact_external_product"))
     assert "Join" not in new._jdf.queryExecution().optimizedPlan().toString() and new.count() == 5
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("splits", [1, 3])
+def test_facts_are_numbered_where_their_month_is_written(spark, splits):
+    from tallyshelf.operators.keys import assign_keys_by_part, assign_surrogate_keys
+
+    rows = spark.range(700).selectExpr(
+        "cast(20260100 + 100 * (id % 5) + id % 28 AS int) AS date_key", "id AS product_key", "1 AS platform_key", "'x' AS seller_name")
+    want = assign_surrogate_keys(rows, S.FACT_KEY, "k", 40, 1)
+    got = assign_keys_by_part(rows, S.FACT_KEY, "k", W.month_of(), splits, 40, 1)
+    # Only narrow counts go by bucket; before, the wide rows went by bucket and again by month.
+    plan = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert [line.count("hashpartitioning(_of") for line in plan if "Exchange" in line].count(1) == 1
+    assert got.columns == want.columns and sorted(got.collect()) == sorted(want.collect())
+    place = {}
+    for r in got.withColumn("task", F.spark_partition_id()).collect():
+        place.setdefault(r.date_key // 100, set()).add(r.task)
+    assert all(len(tasks) <= splits for tasks in place.values())
+
+
+def test_batch_in_buckets_is_used_as_it_lies(spark, wh, tmp_path):
+    day = products(spark, *[snap("ebay", str(n), 10 + n % 3, float(n)) for n in range(40)], snap("ebay", "1", 11, 5.0, rating=2.0))
+    table = W.in_buckets(day, W.BATCH_KEY, "day_in_buckets", str(tmp_path / "day"), W.dedupe.dedupe_daily_snapshot)
+    assert exchanges(table.groupBy(*W.BATCH_KEY).count()) == 0 and table.count() == 40
+    written = []
+    bucketed = W.Load.bucketed
+    try:
+        W.Load.bucketed = lambda self, *a: written.append(a) or bucketed(self, *a)
+        assert W.load_fact_external(wh, table, dealt=True) == 40 and not written
+    finally:
+        W.Load.bucketed = bucketed
+    other = W.Warehouse(spark, str(tmp_path / "other"))
+    assert W.load_fact_external(other, day) == 40
+    columns = [f.name for f in S.FACT_EXTERNAL if f.name not in ("processed_at", "loaded_at")]
+    assert sorted(map(str, wh.read("fact_external_product", columns).collect())) == sorted(
+        map(str, other.read("fact_external_product", columns).collect()))
+    spark.sql("DROP TABLE day_in_buckets")
+
+
+def test_sales_are_dealt_once_for_pick_and_numbers(spark, wh):
+    from tallyshelf.operators.keys import BUCKET, with_bucket
+
+    W.load_internal(wh, *shop(spark))
+    _, _, orders, items = shop(spark)
+    dims = [wh.read(t) for t in ("dim_product", "dim_customer", "dim_platform")]
+    keyed = joins.keyed_sales_lines(orders, items, *dims)
+    plain = joins.sales_key_lookup(joins.sales_line_join(orders, items), *dims)
+    assert keyed.columns == plain.columns and sorted(map(str, keyed.collect())) == sorted(map(str, plain.collect()))
+    with wh.publish() as load:
+        staged = load.bucketed(with_bucket(keyed, S.SALES_KEY, 4), [BUCKET], lambda rows: W.dedupe.dedupe_sales(rows, [BUCKET]))
+        numbered = load.number("fact_sales", staged, S.SALES_KEY)
+        assert exchanges(numbered) == 0 and BUCKET not in numbered.columns and numbered.count() == 1
