@@ -288,16 +288,19 @@ def test_batch_in_buckets_is_used_as_it_lies(spark, wh, tmp_path):
     spark.sql("DROP TABLE day_in_buckets")
 
 
-def test_sales_are_dealt_once_for_pick_and_numbers(spark, wh):
-    from tallyshelf.operators.keys import BUCKET, with_bucket
-
+def test_sales_keys_are_looked_up_before_orders_meet_items(spark, wh):
     W.load_internal(wh, *shop(spark))
     _, _, orders, items = shop(spark)
     dims = [wh.read(t) for t in ("dim_product", "dim_customer", "dim_platform")]
-    keyed = joins.keyed_sales_lines(orders, items, *dims)
     plain = joins.sales_key_lookup(joins.sales_line_join(orders, items), *dims)
+    keyed = joins.keyed_sales_lines(orders, items, *dims)
     assert keyed.columns == plain.columns and sorted(map(str, keyed.collect())) == sorted(map(str, plain.collect()))
-    with wh.publish() as load:
-        staged = load.bucketed(with_bucket(keyed, S.SALES_KEY, 4), [BUCKET], lambda rows: W.dedupe.dedupe_sales(rows, [BUCKET]))
-        numbered = load.number("fact_sales", staged, S.SALES_KEY)
-        assert exchanges(numbered) == 0 and BUCKET not in numbered.columns and numbered.count() == 1
+    # With nothing small enough to broadcast, whole lines go by neither dimension nor key.
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        want, got = (exchanges(W.dedupe.dedupe_sales(f)) for f in (
+            joins.sales_key_lookup(joins.sales_line_join(orders, items), *dims), joins.keyed_sales_lines(orders, items, *dims)))
+        assert got == want - 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
