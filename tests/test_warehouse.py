@@ -304,3 +304,86 @@ def test_sales_keys_are_looked_up_before_orders_meet_items(spark, wh):
         assert got == want - 1
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_sales_are_numbered_where_they_are_written(spark):
+    from tallyshelf.operators.keys import assign_keys_where_dealt, assign_surrogate_keys
+
+    # Days that do not rise with the key, a row without a day, a null in the key.
+    rows = spark.range(600).selectExpr(
+        "nullif(id, 7) AS order_id", "id % 3 AS product_key", "cast(nullif(20260100 + 100 * (id * 7 % 5) + id % 28, 20260120) AS int) AS date_key",
+        "'x' AS order_status")
+    want = assign_surrogate_keys(rows, S.SALES_KEY, "k", 40, 1)
+    got = assign_keys_where_dealt(rows, S.SALES_KEY, "k", W.month_of(), F.when(W.month_of() == 202601, 3).otherwise(1), 40, 1)
+    # Wide rows are dealt once, by month; keys alone go by bucket. Before, wide rows went by bucket and again by month.
+    plan = got._jdf.queryExecution().executedPlan().toString().split("\n")
+    assert sum("Exchange hashpartitioning(_of" in line for line in plan) == 1 and exchanges(got) == exchanges(want) + 1
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    place = {}
+    for r in got.withColumn("task", F.spark_partition_id()).collect():
+        place.setdefault(r.date_key and r.date_key // 100, set()).add(r.task)
+    assert all(len(tasks) <= (3 if month == 202601 else 1) for month, tasks in place.items())
+
+
+def test_first_sales_go_to_their_months_without_a_rebalance(spark, wh):
+    dealt, at_last = [], W.Load.at_last
+    try:
+        W.Load.at_last = lambda self, *a, **k: dealt.append(k.get("dealt", False)) or at_last(self, *a, **k)
+        W.load_internal(wh, *shop(spark))
+        W.load_internal(wh, *shop(spark))
+    finally:
+        W.Load.at_last = at_last
+    assert dealt == [True, False]
+
+
+def test_skipped_lines_are_counted_as_lines_are_keyed(spark, wh, monkeypatch):
+    goods, people, orders, items = shop(spark)
+    odd = items.withColumn("product_id", F.lit(None).cast("bigint")).unionByName(items.withColumn("product_id", F.lit(987654321)))
+    want = joins.sales_lines_skipped(joins.sales_line_join(orders, items.unionByName(odd)), wh.read("dim_product").filter("false"))
+    n = items.join(orders, "order_id").count()
+    assert want.first()[0] == 3 * n
+    # Lines are not derived a second time to be counted, as they were before.
+    monkeypatch.setattr(joins, "sales_lines_skipped", None)
+    assert W.load_internal(wh, goods, people, orders, items.unionByName(odd)) == 2 * n
+    assert wh.read("fact_sales").count() == 1
+
+
+def test_counts_of_buckets_are_dealt_once(spark):
+    from tallyshelf.operators.keys import assign_keys_by_part
+
+    rows = spark.range(200).selectExpr("cast(20260101 + id % 28 AS int) AS date_key", "id AS product_key", "1 AS platform_key")
+    got = assign_keys_by_part(rows, S.FACT_KEY, "k", W.month_of(), 1)
+    kept = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert "ReusedExchange" in got.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", kept)
+
+
+def test_compared_items_are_taken_along(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tallyshelf.plans import inputs as I
+
+    tables = {
+        "dim_platform": spark.createDataFrame([(1, "ebay")], "platform_key int, platform_name string"),
+        "dim_product": spark.createDataFrame([(5, "ebay", "10", "thing")], "product_key bigint, source_system string, source_product_id string, product_name string"),
+        "fact_external_product": spark.createDataFrame(
+            [(100, 20261010, 5, 1, "USD", 2.0, None, 3), (101, 20261011, 5, 1, None, None, 1.0, None)],
+            "external_fact_key bigint, date_key int, product_key bigint, platform_key int, currency string, price double, rating double, review_count bigint"),
+    }
+    # Order 1 names a fact twice, order 2 names both, order 3 a day without a fact, and one line names no order.
+    lines = [(1, 10, 10), (1, 10, 10), (2, 10, 10), (2, 10, 11), (3, 10, 12), (None, 10, 11), (None, 10, 11)]
+    lined = spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, d int").selectExpr(
+        "l_orderkey", "l_partkey", "'ebay' AS source", "make_date(2026, 10, d) AS l_shipdate")
+    monkeypatch.setattr(I, "star", lambda *a: SimpleNamespace(read=lambda t, columns: tables[t].select(*columns)))
+    monkeypatch.setattr(I, "lines", lambda *a: lined)
+    # Before, the requests were stored and each looked its fact, product and platform up again.
+    monkeypatch.setattr(I, "_stored", None)
+    got = I.request_items(spark, "x")
+    assert got.columns == ["external_fact_key", "request_id", "currency", "price", "rating", "review_count", "product_name", "platform_name"]
+    usd, bare = ("USD", 2.0, None, 3, "thing", "ebay"), (None, None, 1.0, None, "thing", "ebay")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
+        (100, 1, *usd), (100, 2, *usd), (101, 2, *bare), (101, None, *bare)]))
+    assert I.derive_compare_requests(spark, "x").count() == 4
