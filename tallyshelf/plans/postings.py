@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import search
-from .warehouse import _PART as PART, Warehouse
+from ..session import partitions
+from .warehouse import _PART as PART, PARTS, Warehouse
 
 SIZE = 3
 FIELDS = ["product_name", "brand", "category", "source_product_id"]
@@ -20,14 +21,22 @@ def pieces(products: DataFrame) -> DataFrame:
     return texts.select(PART, "product_key", "field", F.posexplode(found).alias("place", "piece"))
 
 
-def write_postings(wh: Warehouse, path: str, parts: list[int] | None = None) -> None:
-    """Postings of all products, or anew for the parts of the dimension that a load has overwritten.
+def dealt_pieces(wh: Warehouse, parts: list[int] | None = None) -> DataFrame:
+    """``pieces`` as they are written.
 
-    Rows are dealt by ranges of part, piece and product, so a frequent piece is
-    split, and sorted by piece, so a search skips row groups without its pieces.
+    Products are dealt before their fields are cut, by part and slices of a part,
+    so a name travels once, not once for each of its places, and a frequent piece
+    is split. Rows are sorted by piece, so a search skips pages without its pieces.
     """
-    rows = pieces(wh.parts("dim_product", parts)).repartitionByRange(PART, "piece", "product_key").sortWithinPartitions(PART, "piece")
-    rows.write.partitionBy(PART).mode("overwrite").option(
+    n = partitions(wh.spark)
+    slice_of_part = F.pmod(F.xxhash64("product_key"), F.lit(-(-n // PARTS)))
+    products = wh.parts("dim_product", parts).select(PART, "product_key", *FIELDS).repartition(n, PART, slice_of_part)
+    return pieces(products).sortWithinPartitions(PART, "piece")
+
+
+def write_postings(wh: Warehouse, path: str, parts: list[int] | None = None) -> None:
+    """Postings of all products, or anew for the parts of the dimension that a load has overwritten."""
+    dealt_pieces(wh, parts).write.partitionBy(PART).mode("overwrite").option(
         "partitionOverwriteMode", "static" if parts is None else "dynamic").parquet(path)
 
 

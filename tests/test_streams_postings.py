@@ -184,3 +184,15 @@ def test_redirects_of_a_page_with_many_ids(spark):
         assert r.nearby_prices[-1].startswith("฿") or r.nearby_prices == []
     plan = P.redirect_price_candidates(df)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "MapInArrow" in plan
+
+
+def test_products_are_dealt_before_their_fields_are_cut(spark, shop):
+    wh, path = shop
+    rows = postings.dealt_pieces(wh)
+    plan = rows.select("*")._jdf.queryExecution().executedPlan().toString().split("\n")
+    dealt, cut = ([n for n, line in enumerate(plan) if word in line] for word in ("Exchange", "Generate"))
+    # Before, every piece of every field was dealt, with its field's name.
+    assert len(dealt) == 1 and cut and max(cut) < dealt[0]
+    assert sorted(map(str, rows.collect())) == sorted(map(str, postings.pieces(wh.parts("dim_product")).collect()))
+    placed = rows.withColumn("task", F.spark_partition_id()).groupBy("product_key").agg(F.countDistinct("task").alias("n"))
+    assert placed.filter("n > 1").isEmpty() and spark.read.parquet(path).count() == rows.count()
