@@ -386,3 +386,70 @@ def test_compared_items_are_taken_along(spark, monkeypatch):
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [
         (100, 1, *usd), (100, 2, *usd), (101, 2, *bare), (101, None, *bare)]))
     assert I.derive_compare_requests(spark, "x").count() == 4
+
+
+def test_whole_numbers_meet_product_ids_without_a_text(spark):
+    ids = ["5", "05", "+5", " 5", "5.0", "x", None, "-7", "99999999999999999999"]
+    dim = spark.createDataFrame([(S.INTERNAL_SOURCE, i, n) for n, i in enumerate(ids)] + [("ebay", "5", 50)],
+                                "source_system string, source_product_id string, product_key bigint")
+    for kind in ("bigint", "int", "string"):
+        items = spark.createDataFrame([(5,), (-7,), (8,), (None,)], "n int").select(F.col("n").cast(kind).alias("product_id"), "n")
+        got = joins._with_product(items, dim, "left")
+        assert got.columns == ["product_id", "n", "product_key"]
+        assert sorted(((r.n, r.product_key) for r in got.collect()), key=str) == [(-7, 7), (5, 0), (8, None), (None, None)]
+    whole = joins._with_product(items.withColumn("product_id", F.col("n").cast("bigint")), dim)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        dealt = [line for line in whole.select("*")._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange" in line]
+        # Before, the items' id was dealt a second time, as text.
+        assert len(dealt) == 2 and "hashpartitioning(product_id#" in "".join(dealt)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_sales_are_staged_in_the_columns_of_their_table(spark, wh):
+    staged, scratch = [], W.Load.scratch
+    try:
+        W.Load.scratch = lambda self, df: staged.append(df.columns) or scratch(self, df)
+        W.load_internal(wh, *shop(spark))
+    finally:
+        W.Load.scratch = scratch
+    # Before, ids and times that the table lacks were staged too.
+    assert [f.name for f in S.FACT_SALES if f.name != "sales_key"] in staged and not any("order_item_id" in c for c in staged)
+    assert wh.read("fact_sales").count() == 1
+
+
+def test_lines_of_an_order_are_numbered_together(spark):
+    from tallyshelf.operators.keys import assign_keys_where_dealt, assign_surrogate_keys
+
+    rows = spark.range(600).selectExpr("id div 6 AS order_id", "id % 6 AS product_key", "20260101 AS date_key", "concat('ORD-', id div 6) AS order_number")
+    got = assign_keys_where_dealt(rows, S.SALES_KEY, "k", W.month_of(), F.lit(4), 0, 1)
+    # Before, pieces went by the whole key and the lines of an order came apart.
+    tasks = got.withColumn("task", F.spark_partition_id()).groupBy("order_id").agg(F.countDistinct("task").alias("n"))
+    assert tasks.filter("n > 1").isEmpty()
+    assert sorted(got.collect()) == sorted(assign_surrogate_keys(rows, S.SALES_KEY, "k", 0, 1).collect())
+
+
+def test_lines_are_dealt_before_their_texts_are_derived(spark):
+    from tallyshelf.operators.standardize import filter_valid_core, product_key_cells, standardize
+    from tallyshelf.plans import inputs as I
+
+    lined = spark.range(400).selectExpr(
+        "cast(nullif(id % 9, 8) AS int) AS l_linenumber", "nullif(id % 26, 25) AS l_partkey", "id % 7 AS l_suppkey", "id % 3 AS disc", "id % 50 + 100 AS cents",
+        "cast(id % 5 + 1 AS double) AS l_quantity", "nullif(element_at(array('ebay', 'stockx'), cast(id % 2 AS int) + 1), 'x') AS source", "'R' AS l_returnflag",
+        "nullif('anvil', if(id % 31 = 0, 'anvil', '')) AS p_name", "'T' AS p_type", "'b' AS p_brand", "cast(id % 51 AS int) AS p_size",
+        "timestamp '2026-01-01' + make_interval(0, 0, 0, cast(id % 4 AS int)) AS l_shipdate").selectExpr(
+        "*", "l_shipdate + make_interval(0, 0, 0, 0, l_linenumber) AS seen_at")
+    raw = I._raw_cells(lined, F.expr(I._RAW_PLATFORM), F.expr(I._RAW_ID))
+    want = W.dedupe.dedupe_daily_snapshot(filter_valid_core(standardize(raw, F.col("source"))))
+    cells = product_key_cells(F.expr(I._RAW_PLATFORM), F.expr(I._RAW_ID), F.col("source"))
+    got = I._daily_of_dealt(lined.withColumns(cells).repartition(3, *W.BATCH_KEY))
+    assert got.schema.names == want.schema.names and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and not got.isEmpty()
+    # Before, urls, sellers and times were written out and dealt; the daily pick still needs no shuffle of its own.
+    plan = got.select("*")._jdf.queryExecution().executedPlan().toString().split("\n")
+    at = [n for n, line in enumerate(plan) if "Exchange" in line]
+    assert len(at) == 1 and any("shop.example" in line for line in plan[:at[0]])
+    assert not any("shop.example" in line for line in plan[at[0]:])
+    # Lines of no product are left out before rows are dealt, so they don't meet in one task.
+    assert any("Filter" in line and "trim" in line for line in plan[at[0]:])
