@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import search
 from ..session import partitions
-from .warehouse import _PART as PART, PARTS, Warehouse
+from .warehouse import CODEC, _PART as PART, PARTS, Warehouse
 
 SIZE = 3
 FIELDS = ["product_name", "brand", "category", "source_product_id"]
@@ -26,18 +26,18 @@ def dealt_pieces(wh: Warehouse, parts: list[int] | None = None) -> DataFrame:
 
     Products are dealt before their fields are cut, by part and slices of a part,
     so a name travels once, not once for each of its places, and a frequent piece
-    is split. Rows are sorted by piece, so a search skips pages without its pieces.
+    is split. Rows are sorted by piece, so a search skips pages without its pieces, and by product, so they are stored small.
     """
     n = partitions(wh.spark)
     slice_of_part = F.pmod(F.xxhash64("product_key"), F.lit(-(-n // PARTS)))
     products = wh.parts("dim_product", parts).select(PART, "product_key", *FIELDS).repartition(n, PART, slice_of_part)
-    return pieces(products).sortWithinPartitions(PART, "piece")
+    return pieces(products).sortWithinPartitions(PART, "piece", "product_key")
 
 
 def write_postings(wh: Warehouse, path: str, parts: list[int] | None = None) -> None:
     """Postings of all products, or anew for the parts of the dimension that a load has overwritten."""
     dealt_pieces(wh, parts).write.partitionBy(PART).mode("overwrite").option(
-        "partitionOverwriteMode", "static" if parts is None else "dynamic").parquet(path)
+        "partitionOverwriteMode", "static" if parts is None else "dynamic").parquet(path, compression=CODEC)
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
