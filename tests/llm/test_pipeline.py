@@ -105,3 +105,17 @@ def test_stages_take_awkward_tables(spark, n):
         assert n == 4 or out.columns == df.columns
         assert bool(found) == bool(rows)
     assert simhash and secret_scan and name
+
+
+def test_run_keeps_the_last_rows_only(spark):
+    import os
+
+    from tallyshelf.session import shared_dir
+
+    top = f"{shared_dir(spark)}/llm"
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    df = corpus_pipeline.run(spark, SF)
+    # Before, every stage's rows and steps stayed until the application ended.
+    left = {x.split("-")[0] for x in set(os.listdir(top)) - before}
+    assert "stage4" in left and not left & {"stage1", "stage2", "stage3", "near", "chosen", "features", "grams"}
+    assert df.count() > 0
