@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.gates import GateError
+from ..session import shuffles_freed
 
 
-def write_partitioned_products(df: DataFrame, path: str) -> None:
+def write_partitioned_products(df: DataFrame, path: str, dealt: bool = False) -> None:
     """Overwrite the processed table, one folder per platform.
 
     Rows are spread by platform and product, so a dominant platform is written
-    by many tasks instead of one.
+    by many tasks instead of one. ``dealt``: they are spread so (or by day as
+    well, as the daily pick leaves them) already and are written where they lie.
     """
-    spread = df.repartition("platform", "external_product_id")
-    spread.write.mode("overwrite").partitionBy("platform").parquet(path)
+    spread = df if dealt else df.repartition("platform", "external_product_id")
+    with shuffles_freed(df.sparkSession):
+        spread.write.mode("overwrite").partitionBy("platform").parquet(path)
 
 
 def write_once(df: DataFrame, path: str, files: int | None = None, fmt: str = "parquet") -> None:
