@@ -453,3 +453,86 @@ def test_lines_are_dealt_before_their_texts_are_derived(spark):
     assert not any("shop.example" in line for line in plan[at[0]:])
     # Lines of no product are left out before rows are dealt, so they don't meet in one task.
     assert any("Filter" in line and "trim" in line for line in plan[at[0]:])
+
+
+def shuffle_files(spark):
+    import os
+
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in local for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+
+def left_behind(spark, before):
+    """Spark removes files in the background: a moment is given, and so are the shuffles of counts, one row of a few bytes a task."""
+    import os
+    import time
+
+    for _ in range(20):
+        found = [f for f in shuffle_files(spark) - before if f.endswith(".data")]
+        if not found:
+            break
+        time.sleep(0.25)
+    local = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    sizes = {f: os.path.getsize(f"{d}/{f}") for top in local for d, _, names in os.walk(top) for f in names}
+    return [f for f in found if sizes.get(f, 0) > 100]
+
+
+def test_merged_equals_upsert(spark):
+    cells = "k int, p int, sk bigint, price double, kept string"
+    target = spark.createDataFrame([(1, 1, 10, 1.0, "a"), (1, 1, 11, 1.5, "twin"), (2, 1, 12, None, "b"), (None, 1, 13, 2.0, "n"), (3, None, 14, 3.0, "m")], cells)
+    source = spark.createDataFrame([(1, 1, 9.0, "x"), (2, 1, None, "y"), (None, 1, 8.0, "z"), (4, 4, None, None), (5, 5, 7.0, "w")], "k int, p int, price double, kept string")
+    got = W.merged(target, source, ["k", "p"], ["price"])
+    assert got.columns == [*target.columns, "_is_new"]
+    updated, new = W.upsert(target, source, ["k", "p"], ["price"])
+    want = [(*r, False) for r in updated.collect()] + [(r.k, r.p, None, r.price, r.kept, True) for r in new.collect()]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want)) and len(want) == 8
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        # Before, the source was dealt a second time to find what is new, and the target's keys with it.
+        assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+def test_loads_leave_no_shuffles_behind(spark, wh):
+    before, rows = shuffle_files(spark), spark.range(100).selectExpr("id", "id % 7 AS k").repartition(3, "k")
+    with wh.publish() as load:
+        # Before, the shuffles of every step stayed until the driver happened to collect its garbage.
+        assert load.scratch(rows).count() == load.bucketed(rows, ["k"]).count() == 100 and W._values(rows, F.col("k")) == [*range(7)]
+        load.append("dim_platform", rows.selectExpr("cast(id AS int) AS platform_key", "cast(k AS string) AS platform_name"))
+    assert wh.read("dim_platform").count() == 100 and not left_behind(spark, before)
+
+
+def test_daily_rows_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    from tallyshelf.sources import writers
+
+    rows = spark.range(60).selectExpr("element_at(array('ebay', 'etsy', null), cast(id % 3 AS int) + 1) AS platform", "cast(id % 7 AS string) AS external_product_id", "id")
+    before = shuffle_files(spark)
+    writers.write_partitioned_products(rows, f"{tmp_path}/a")
+    assert not left_behind(spark, before)
+    # Before, rows that the daily pick had just dealt were dealt once more.
+    monkeypatch.setattr(type(rows), "repartition", None)
+    writers.write_partitioned_products(rows, f"{tmp_path}/b", dealt=True)
+    one, two = (sorted(map(str, spark.read.parquet(f"{tmp_path}/{x}").collect())) for x in "ab")
+    assert one == two and len(one) == 60
+
+
+def test_ranked_items_are_dealt_once(spark):
+    from tallyshelf.operators import recommend as R
+
+    cells = "request_id bigint, external_fact_key bigint, currency string, price double, rating double, review_count bigint"
+    items = spark.createDataFrame([
+        (1, 1, "USD", 10.0, 5.0, 1000), (1, 2, "USD", 20.0, None, None), (2, 1, "USD", 10.0, 5.0, 1000), (2, 3, "JPY", 1.0, 1.0, 1),
+        (3, 4, "USD", None, 1.0, 1), (None, 1, "USD", 10.0, 5.0, 1000)], cells)
+    got = R.recommend_products(items.repartition(3, "request_id"), "price")
+    assert sorted((r.request_id, r.external_fact_key, r.score, r["rank"], r.limitation) for r in got.collect()) == [
+        (1, 1, 1.1, 1, None), (1, 2, 0.0, 2, None), (2, 1, None, None, "several currencies"), (2, 3, None, None, "several currencies"),
+        (3, 4, None, None, "missing price or currency")]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        # Before, items were made twice, for the summary and for the scores, and dealt for each.
+        assert got.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
