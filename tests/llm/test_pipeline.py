@@ -107,15 +107,19 @@ def test_stages_take_awkward_tables(spark, n):
     assert simhash and secret_scan and name
 
 
-def test_run_keeps_the_last_rows_only(spark):
+def test_run_keeps_the_last_rows_only(spark, monkeypatch):
     import os
 
-    from tallyshelf.session import shared_dir
+    from tallyshelf.llm import common
 
-    top = f"{shared_dir(spark)}/llm"
-    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    written, path = [], common.shared_path
+    noted = lambda *a: written.append(path(*a)) or written[-1]
+    monkeypatch.setattr(common, "shared_path", noted)
+    monkeypatch.setattr(corpus_pipeline, "shared_path", noted)
     df = corpus_pipeline.run(spark, SF)
     # Before, every stage's rows and steps stayed until the application ended.
-    left = {x.split("-")[0] for x in set(os.listdir(top)) - before}
+    names = lambda paths: {os.path.basename(x).split("-")[0] for x in paths}
+    assert names(written) >= {"stage1", "stage2", "stage3", "stage4", "near", "features", "grams"}
+    left = names(x for x in written if os.path.exists(x))
     assert "stage4" in left and not left & {"stage1", "stage2", "stage3", "near", "chosen", "features", "grams"}
     assert df.count() > 0

@@ -495,6 +495,18 @@ def test_merged_equals_upsert(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
 
 
+def test_stored_facts_are_merged_in_the_touched_months_only(spark, wh, monkeypatch):
+    plans, merged = [], W.merged
+    monkeypatch.setattr(W, "merged", lambda target, *a: plans.append(target._jdf.queryExecution().executedPlan().toString()) or merged(target, *a))
+    for day in ("2026-10-10 10:00:00", "2026-12-01 10:00:00"):
+        W.load_internal(wh, *shop(spark, day))
+    W.load_fact_external(wh, products(spark, snap("ebay", "1", 10)))
+    W.upsert_fact_external(wh, products(spark, snap("ebay", "1", 10), snap("ebay", "2", 10)))
+    assert len(plans) == 2 and all("PartitionFilters: [isnotnull(_part" in p or "PartitionFilters: [_part#" in p for p in plans)
+    assert [r.date_key for r in wh.read("fact_sales").collect()] == [20261201]
+    assert sorted(r[0] for r in wh.read("fact_external_product", ["external_fact_key"]).collect()) == [1, 2]
+
+
 def test_loads_leave_no_shuffles_behind(spark, wh):
     before, rows = shuffle_files(spark), spark.range(100).selectExpr("id", "id % 7 AS k").repartition(3, "k")
     with wh.publish() as load:
